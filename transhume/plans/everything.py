@@ -62,6 +62,7 @@ def run_all(
     write: Callable[[DataFrame, str], None],
     as_of: dt.datetime,
     account_order: Sequence[str] = ("created_at", "login"),
+    stats_last_by: Sequence[str] = ("group",),
     deal_keys: Sequence[str] | None = None,
     equity_keys: Sequence[str] | None = None,
     stats_keys: Sequence[str] | None = None,
@@ -92,6 +93,7 @@ def run_all(
             account_data=sources.get("account_data"),
             groups=made.get("platform_groups"),
             order_by=account_order,
+            stats_last_by=stats_last_by,
             keep_secrets=keep_secrets,
         )
 
