@@ -58,7 +58,7 @@ def read_csv(
     file is no longer split between tasks. Without a schema the types are inferred,
     which costs another pass over the data.
     """
-    reader = spark.read.options(**_CSV).option("mode", mode).option("multiLine", multiline)
+    reader = spark.read.options(**_CSV).options(mode=mode, multiLine=multiline, enforceSchema=False)
     if schema is None:
         inferred = spark.read.options(**_CSV).option("inferSchema", "true").csv(path).schema
         schema = inferred
