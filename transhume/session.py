@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,11 @@ def local_session(app: str = "transhume", cores: int | str = 8, partitions: int
     return spark
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="transhume-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for staged tables: the cluster's ``spark.checkpoint.dir``.
 
@@ -37,9 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="transhume-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_dir()
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -22,7 +22,7 @@ _DOUBLE = r'"(?:[^"\\]++|\\.|"")*+"'
 _TUPLE = rf"(?s)\(((?:[^()'\"\\]++|{_SINGLE}|{_DOUBLE})*+)\)"
 _VALUE = rf"(?s)(?:^|,)((?:[^,'\"]++|{_SINGLE}|{_DOUBLE})*+)"
 _INSERT_HEAD = r"(?is)\A\s*INSERT\s+(?:IGNORE\s+)?INTO\s+`?([^`\s(]+)`?\s*(\([^)]*\))?\s*VALUES\s*"
-_CREATE_HEAD = r"(?i)CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?`?([^`\s(]+)`?\s*\("
+_CREATE_HEAD = r"(?i)\A\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?`?([^`\s(]+)`?\s*\("
 _COLUMN_LINE = r"(?m)^\s*`([^`]+)`"
 # What remains of an INSERT once its tuples are taken out.
 _BETWEEN = r"^[\s,;]*$"
@@ -49,7 +49,8 @@ def table_columns(statements: DataFrame) -> DataFrame:
     Key and constraint lines do not start with a quoted name and are left out. Of
     several definitions of one table, the one in the first file counts.
     """
-    found = statements.filter(F.col("statement").rlike(_CREATE_HEAD)).select(
+    code = statements.select("file", _code_lines(F.col("statement")).alias("statement"))
+    found = code.filter(F.col("statement").rlike(_CREATE_HEAD)).select(
         F.regexp_extract("statement", _CREATE_HEAD, 1).alias("table"),
         F.array_distinct(F.regexp_extract_all("statement", F.lit(_COLUMN_LINE), F.lit(1))).alias("columns"),
         "file",
