@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,24 +14,23 @@ from transhume.plans import facts, people, sales
 from transhume.rulebook import AccountRules
 from transhume.session import stage
 
-# Fixed order: independent tables, then those that need users and codes, then
-# accounts, then what refers to accounts, then the settings.
-ORDER = [
-    "users",
-    "default_settings",
-    "discount_codes",
-    "platform_groups",
-    "purchases",
-    "platform_accounts",
-    "account_stats",
-    "platform_events",
-    "breach_activities",
-    "payout_requests",
-    "equity_daily",
-    "deals",
-    "recent_deals",
-    "challenge_settings",
+# Fixed order: tables that stand alone, then what needs users, codes and groups, then
+# what refers to accounts. The exports of one phase do not read each other.
+PHASES = [
+    ["users", "default_settings", "discount_codes", "platform_groups"],
+    ["purchases", "platform_accounts"],
+    [
+        "account_stats",
+        "platform_events",
+        "breach_activities",
+        "payout_requests",
+        "equity_daily",
+        "deals",
+        "recent_deals",
+        "challenge_settings",
+    ],
 ]
+ORDER = [name for phase in PHASES for name in phase]
 
 # Tables that later exports read; they are written once and read back.
 _SHARED = {"discount_codes", "platform_groups", "platform_accounts"}
@@ -68,11 +68,14 @@ def run_all(
     stats_keys: Sequence[str] | None = None,
     keep_secrets: bool = False,
     only: Sequence[str] | None = None,
+    at_once: int = 4,
 ) -> tuple[dict[str, DataFrame], list[Outcome]]:
     """Build and write every export; one that fails does not stop the others.
 
     ``write(table, name)`` stores a finished table. Returns the tables and the
-    outcomes. ``only`` builds the named exports and the shared tables they read.
+    outcomes. ``only`` builds the named exports and the shared tables they read. Up to
+    ``at_once`` exports of a phase run as concurrent Spark jobs, so that the last tasks
+    of one leave no executors idle.
     """
     src, made = _Tables(sources), _Tables()
     keys = people.user_keys(sources["users"]) if "users" in sources else None
@@ -122,18 +125,24 @@ def run_all(
             src["default_settings"], made["platform_groups"], made[accounts], as_of.isoformat(sep=" ")
         ),
     }
-    outcomes = []
-    for name in ORDER:
-        if only is not None and name not in only and name not in _SHARED:
-            continue
+
+    def run(name: str) -> tuple[str, DataFrame | None, Outcome]:
         try:
             table = builders[name]()
             if name in _SHARED:
                 table = stage(table, name)
             if only is None or name in only:
                 write(table, name)
-            made[name] = table
-            outcomes.append(Outcome(name, True))
+            return name, table, Outcome(name, True)
         except Exception as error:  # an export that fails must not stop the rest
-            outcomes.append(Outcome(name, False, f"{type(error).__name__}: {error}"))
+            return name, None, Outcome(name, False, f"{type(error).__name__}: {error}")
+
+    outcomes = []
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        for phase in PHASES:
+            wanted = [n for n in phase if only is None or n in only or n in _SHARED]
+            for name, table, outcome in list(pool.map(run, wanted)):
+                outcomes.append(outcome)
+                if table is not None:
+                    made[name] = table
     return dict(made), outcomes

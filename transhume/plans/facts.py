@@ -2,7 +2,8 @@
 
 Each is one scan, one lookup and a projection. The accounts table is the only other
 input: it is broadcast when its measured size allows, otherwise both sides are
-shuffled by login. ``spread_by`` then salts the logins that hold many rows.
+shuffled by login. ``spread_by`` then salts the logins that hold many rows. Row
+keys are made after the lookup, so that none is computed for a row that goes.
 """
 
 from __future__ import annotations
@@ -59,9 +60,14 @@ def export_platform_events(
     spread_by: Column | None = None,
     columns: Sequence[str] | None = TARGETS["platform_events"],
 ) -> DataFrame:
-    df = conform.with_constants(events, {"uuid": uuid_from("platform_events", "id")})
-    df = with_account(df, accounts, "login", with_user=True, spread_by=spread_by)
-    df = df.withColumn("event", rules.remap(F.col("event"), rulebook.EVENT_CHANGES))
+    df = with_account(events, accounts, "login", with_user=True, spread_by=spread_by)
+    df = conform.with_constants(
+        df,
+        {
+            "uuid": uuid_from("platform_events", "id"),
+            "event": rules.remap(F.col("event"), rulebook.EVENT_CHANGES),
+        },
+    )
     df = conform.copy_columns(df, {"reason": "event", "updated_at": "created_at"})
     df = conform.parse_seconds(df, ["created_at", "updated_at"], SECONDS_SHAPE)
     df = conform.drop_if_present(df, ["id", "user_id", "login", "hourl_gap_status"])
@@ -84,8 +90,8 @@ def export_breach_activities(
             "IsBreached": "is_breached",
         },
     )
-    df = conform.with_constants(df, {"id": uuid_from("breach_activities", "_source_id")})
     df = with_account(df, accounts, "account_login", spread_by=spread_by)
+    df = conform.with_constants(df, {"id": uuid_from("breach_activities", "_source_id")})
     df = conform.cast_columns(df, {"is_breached": "boolean"})
     df = conform.parse_seconds(df, ["last_breach_date"], SECONDS_SHAPE)
     df = conform.drop_if_present(df, ["_source_id", "account_login"])
@@ -100,9 +106,9 @@ def export_equity_daily(
     columns: Sequence[str] = TARGETS["equity_daily"],
 ) -> DataFrame:
     """Daily equity of known accounts; text that is no date or time is an error."""
-    df = conform.with_constants(equity, {"id": _row_id("equity_daily", id_keys)})
-    df = with_account(df, accounts, "trading_account", spread_by=spread_by)
+    df = with_account(equity, accounts, "trading_account", spread_by=spread_by)
     df = filters.not_null(df, "platform_account_uuid")
+    df = conform.with_constants(df, {"id": _row_id("equity_daily", id_keys)})
     types = {"day": "date", "created_date": "timestamp_ntz", "equity_eod_mt5": "double"}
     return conform.select_required(conform.cast_columns(df, types), columns)
 
@@ -115,9 +121,9 @@ def _deals(
     columns: Sequence[str] | None,
     types: dict[str, str],
 ) -> DataFrame:
-    df = conform.with_constants(deals, {"id": _row_id("deals", id_keys)})
-    df = with_account(df, accounts, "trading_account", spread_by=spread_by)
+    df = with_account(deals, accounts, "trading_account", spread_by=spread_by)
     df = filters.not_null(df, "platform_account_uuid")
+    df = conform.with_constants(df, {"id": _row_id("deals", id_keys)})
     return conform.select_available(conform.cast_columns(df, types), columns)
 
 

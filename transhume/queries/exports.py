@@ -13,7 +13,7 @@ from transhume.plans import accounts as acc
 from transhume.plans import audits, everything, facts, people, sales
 from transhume.queries.columns import NAMES
 from transhume.queries.inputs import INPUTS, derived, with_inputs
-from transhume.queries.registry import code_sql, query, uuid_sql
+from transhume.queries.registry import code_sql, once, query, uuid_sql
 from transhume.session import stage, stage_path
 
 OWNER = "owner@example.com"
@@ -51,8 +51,9 @@ def _accounts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     )
 
 
+@once
 def _account_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exported accounts, written once and read by what refers to them."""
+    """Exported accounts, written once and read by all that refers to them."""
     columns = ["uuid", "user_uuid", "platform_group_uuid", "platform_login_id"]
     return stage(_accounts(spark, sf_dir).select(*columns), "account_keys")
 

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transhume.queries.registry import once, table
+
 _DAY = "'2024-0{month}-' || lpad(CAST({key} % 28 + 1 AS STRING), 2, '0') || ' 08:30:00'"
 
 
@@ -183,11 +185,11 @@ FROM {supplier}""",
 _TABLE = re.compile(r"\{(\w+)\}")
 
 
+@once
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A migration input as a DataFrame over the given tables."""
     text = INPUTS[name]
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLE.findall(text)}
-    return spark.sql(text, **tables)
+    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in _TABLE.findall(text)})
 
 
 def derived_sql(name: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,21 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def once(build: Query) -> Query:
+    """Build a table once per application and folder; later queries share it."""
+    held: dict[tuple[str, ...], DataFrame] = {}
+
+    @wraps(build)
+    def shared(spark: SparkSession, sf_dir: str, *name: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, *name)
+        if key not in held:
+            held[key] = build(spark, sf_dir, *name)
+        return held[key]
+
+    return shared
+
+
+@once
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
