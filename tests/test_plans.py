@@ -85,6 +85,25 @@ def test_only_hot_keys_are_broadcast_when_salting(spark, shuffled_joins):
     assert salted.count() == df.count()
 
 
+def test_hot_lookup_keys_are_split_at_run_time(spark, shuffled_joins):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts_ = spark.range(0, 20_000, 1, 8).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500))
+        dim = spark.range(500).select(F.col("id").alias("key"), F.md5(F.col("id").cast("string")).alias("v"))
+        df = lookup.lookup(facts_, dim, "k", "key", {"v": "v"}, unique=True)
+        assert len(df.collect()) == 20_000
+        assert "skew=true" in physical(df)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     df = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_returnflag", "l_tax")
     plan = physical(filters.slice_by_key(df, "l_orderkey", "42").select("l_tax"))

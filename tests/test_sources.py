@@ -199,6 +199,15 @@ def test_several_files_and_name_filter(spark, tmp_path):
     assert dump.insert_rows(single).select(F.get("row_values", F.lit(0))).first()[0] == "3"
 
 
+def test_bad_values_in_a_dump(spark, tmp_path):
+    (tmp_path / "t.sql").write_text("CREATE TABLE `t` (\n  `a` int\n);\nINSERT INTO `t` VALUES (1),('x');\n")
+    strict = dump.load_dump(spark, str(tmp_path), {"t": "a int"})["t"]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        strict.collect()
+    lenient = dump.load_dump(spark, str(tmp_path), {"t": "a int"}, lenient=True)["t"]
+    assert {r.a for r in lenient.collect()} == {1, None}
+
+
 def test_insert_text_inside_a_value_is_not_a_statement(spark, tmp_path):
     (tmp_path / "t.sql").write_text(
         "CREATE TABLE `t` (\n  `a` text\n);\nINSERT INTO `t` VALUES ('INSERT INTO `u` VALUES (1)'),('CREATE TABLE `v` (');\n"

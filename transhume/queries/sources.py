@@ -111,7 +111,7 @@ def dump_load(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     path = stage_path(spark, "documents_dump")
     write_dump(docs, "documents", path)
-    return dump.dump_table(_dump_statements(spark, path), "documents", docs.columns, docs.schema)
+    return dump.dump_table(dump.insert_rows(_dump_statements(spark, path)), "documents", docs.columns, docs.schema)
 
 
 @query(
@@ -125,7 +125,8 @@ def dump_load_many_tuples(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select("c_custkey", note.alias("note"), "c_acctbal")
     path = stage_path(spark, "customer_dump")
     write_dump(rows, "customer", path, per_statement=F.floor(key / 50))
-    return dump.dump_table(_dump_statements(spark, path), "customer", rows.columns, rows.schema)
+    staged = dump.stage_rows(_dump_statements(spark, path))
+    return dump.dump_table(staged, "customer", rows.columns, rows.schema)
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transhume.functions.parse import sql_literal
+from transhume.session import stage_path
 
 # The text forms of a dump. Possessive quantifiers keep long literals
 # from using up the regex stack.
@@ -83,23 +84,38 @@ def rejected(statements: DataFrame) -> DataFrame:
     return inserts(statements).filter(~rest.rlike(_BETWEEN))
 
 
+def stage_rows(statements: DataFrame) -> DataFrame:
+    """Insert rows, taken apart once and stored by table.
+
+    A dump of many tables is then parsed in one pass, and reading one table touches
+    only its own files.
+    """
+    path = stage_path(statements.sparkSession, "dump_rows")
+    insert_rows(statements).write.partitionBy("table").parquet(path)
+    return statements.sparkSession.read.schema("file string, row_values array<string>, table string").parquet(path)
+
+
 def dump_table(
-    statements: DataFrame, table: str, columns: list[str], schema: T.StructType | str | None = None
+    rows: DataFrame,
+    table: str,
+    columns: list[str],
+    schema: T.StructType | str | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """Rows of one table under its column names, typed where the schema says so.
 
-    Short tuples are filled with nulls and surplus values dropped.
+    Short tuples are filled with nulls and surplus values dropped. ``lenient`` makes a
+    value of the wrong type null instead of failing.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
-    rows = insert_rows(statements).filter(F.col("table") == table)
-    return rows.select(
-        *[
-            F.get("row_values", F.lit(i)).cast(types.get(c, T.StringType())).alias(c)
-            for i, c in enumerate(columns)
-        ]
-    )
+
+    def column(i: int, name: str) -> Column:
+        value, kind = F.get("row_values", F.lit(i)), types.get(name, T.StringType())
+        return (value.try_cast(kind) if lenient else value.cast(kind)).alias(name)
+
+    return rows.filter(F.col("table") == table).select(*[column(i, c) for i, c in enumerate(columns)])
 
 
 def load_dump(
@@ -107,26 +123,20 @@ def load_dump(
     path: str,
     schemas: dict[str, T.StructType | str] | None = None,
     name_contains: str | None = None,
+    lenient: bool = False,
 ) -> dict[str, DataFrame]:
     """Every table of a dump by name; tables without a definition get ``_c0``, ``_c1``, …
 
-    Only the definitions and the tuple widths of undefined tables reach the driver:
-    one row per table.
+    The dump is read twice: for its definitions and for its rows. One row per table
+    reaches the driver.
     """
-    schemas = schemas or {}
     statements = read_statements(spark, path, name_contains)
-    defined = table_columns(statements).collect()
-    columns = {r["table"]: r["columns"] for r in defined}
-    widths = (
-        insert_rows(statements)
-        .filter(~F.col("table").isin(list(columns)))
-        .groupBy("table")
-        .agg(F.max(F.size("row_values")).alias("width"))
-        .collect()
-    )
-    for r in widths:
+    columns = {r["table"]: r["columns"] for r in table_columns(statements).collect()}
+    rows = stage_rows(statements)
+    undefined = rows.filter(~F.col("table").isin(list(columns)))
+    for r in undefined.groupBy("table").agg(F.max(F.size("row_values")).alias("width")).collect():
         columns[r["table"]] = [f"_c{i}" for i in range(r["width"])]
-    return {t: dump_table(statements, t, cols, schemas.get(t)) for t, cols in columns.items()}
+    return {t: dump_table(rows, t, cols, (schemas or {}).get(t), lenient) for t, cols in columns.items()}
 
 
 def dump_summary(statements: DataFrame) -> DataFrame:
