@@ -196,7 +196,7 @@ def test_several_files_and_name_filter(spark, tmp_path):
     assert sorted(only) == ["t"]
     assert sorted(r.a for r in only["t"].collect()) == [1, 2, 3]
     single = dump.read_statements(spark, str(tmp_path / "t_2.sql"))
-    assert dump.insert_rows(single).select(F.get("row_values", F.lit(0))).first()[0] == "3"
+    assert dump.insert_rows(single).select(F.get("literals", F.lit(0))).first()[0] == "3"
 
 
 def test_bad_values_in_a_dump(spark, tmp_path):

@@ -23,6 +23,9 @@ MYSQL_ESCAPES = {
     "\\Z": "\x1a",
 }
 
+# The escapes that most dumps hold no others of.
+COMMON_ESCAPES = {"\\n": "\n", "\\'": "'", '\\"': '"'}
+
 
 def _strict(source: Column, parsed: Column, what: str) -> Column:
     failure = F.raise_error(F.concat(F.lit(f"not a {what}: "), source.cast("string")))
@@ -59,7 +62,15 @@ def sql_literal(v: Column) -> Column:
     quoted = quote.isin("'", '"')
     body = F.substring(v, F.lit(2), F.length(v) - 2)
     body = F.replace(body, F.concat(quote, quote), quote)
+    common = body
+    for written, meant in COMMON_ESCAPES.items():
+        common = F.replace(common, F.lit(written), F.lit(meant))
     # Escaped backslashes split the text, so what follows one is never misread.
     parts = F.transform(F.split(body, r"\\\\"), _unescape)
-    decoded = F.when(body.contains("\\"), F.array_join(parts, "\\")).otherwise(body)
-    return F.when(F.upper(v) == "NULL", F.lit(None)).when(quoted, decoded).otherwise(v)
+    decoded = (
+        F.when(~body.contains("\\"), body)
+        .when(~body.rlike(r"""\\[^n'"]"""), common)
+        .otherwise(F.array_join(parts, "\\"))
+    )
+    is_null = F.upper(F.substring(v, 1, 5)) == "NULL"
+    return F.when(is_null, F.lit(None)).when(quoted, decoded).otherwise(v)

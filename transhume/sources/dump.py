@@ -70,12 +70,11 @@ def inserts(statements: DataFrame) -> DataFrame:
 
 
 def insert_rows(statements: DataFrame) -> DataFrame:
-    """One row per inserted tuple: table, file and the decoded values in order."""
+    """One row per inserted tuple: table, file and its literals in order, as written."""
     tuples = inserts(statements).select(
         "table", "file", F.explode(F.regexp_extract_all("body", F.lit(_TUPLE), F.lit(1))).alias("tuple")
     )
-    raw = F.regexp_extract_all("tuple", F.lit(_VALUE), F.lit(1))
-    return tuples.select("table", "file", F.transform(raw, sql_literal).alias("row_values"))
+    return tuples.select("table", "file", F.regexp_extract_all("tuple", F.lit(_VALUE), F.lit(1)).alias("literals"))
 
 
 def rejected(statements: DataFrame) -> DataFrame:
@@ -92,7 +91,7 @@ def stage_rows(statements: DataFrame) -> DataFrame:
     """
     path = stage_path(statements.sparkSession, "dump_rows")
     insert_rows(statements).write.partitionBy("table").parquet(path)
-    return statements.sparkSession.read.schema("file string, row_values array<string>, table string").parquet(path)
+    return statements.sparkSession.read.schema("file string, literals array<string>, table string").parquet(path)
 
 
 def dump_table(
@@ -104,15 +103,16 @@ def dump_table(
 ) -> DataFrame:
     """Rows of one table under its column names, typed where the schema says so.
 
-    Short tuples are filled with nulls and surplus values dropped. ``lenient`` makes a
-    value of the wrong type null instead of failing.
+    Literals are decoded here, column by column. Short tuples are filled with nulls and
+    surplus values dropped. ``lenient`` makes a value of the wrong type null instead of
+    failing.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
 
     def column(i: int, name: str) -> Column:
-        value, kind = F.get("row_values", F.lit(i)), types.get(name, T.StringType())
+        value, kind = sql_literal(F.get("literals", F.lit(i))), types.get(name, T.StringType())
         return (value.try_cast(kind) if lenient else value.cast(kind)).alias(name)
 
     return rows.filter(F.col("table") == table).select(*[column(i, c) for i, c in enumerate(columns)])
@@ -134,7 +134,7 @@ def load_dump(
     columns = {r["table"]: r["columns"] for r in table_columns(statements).collect()}
     rows = stage_rows(statements)
     undefined = rows.filter(~F.col("table").isin(list(columns)))
-    for r in undefined.groupBy("table").agg(F.max(F.size("row_values")).alias("width")).collect():
+    for r in undefined.groupBy("table").agg(F.max(F.size("literals")).alias("width")).collect():
         columns[r["table"]] = [f"_c{i}" for i in range(r["width"])]
     return {t: dump_table(rows, t, cols, (schemas or {}).get(t), lenient) for t, cols in columns.items()}
 
