@@ -106,11 +106,11 @@ SELECT o_orderkey AS src_id,
 FROM {{orders}}""",
     "preferred_logins": """
 SELECT CAST(500000 + o_orderkey AS STRING) AS login, o_orderkey - o_orderkey % 4 AS purchase_id
-FROM {orders} WHERE o_orderkey % 10 IN (1, 2, 3)""",
+FROM {orders} WHERE o_orderstatus = 'P'""",
     "account_data": """
 SELECT CAST(500000 + o_orderkey AS STRING) AS account_login, 'm' || CAST(o_custkey AS STRING) AS main_password,
   'i' || CAST(o_custkey AS STRING) AS investor_password
-FROM {orders} WHERE o_orderkey % 5 <> 0""",
+FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
     "account_stats": f"""
 SELECT o_orderkey AS src_id,
   CAST(500000 + o_orderkey - CASE WHEN o_orderkey % 29 = 1 THEN 1 ELSE 0 END AS STRING) AS account_login,
