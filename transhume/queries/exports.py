@@ -360,24 +360,17 @@ def export_recent_deals(spark, sf_dir):
     )
 
 
-_SLICED = uuid_sql("platform_accounts", "'500004'")
-
-
 @query(
     _over_accounts(
         ["deals"],
         f"""SELECT {_DEAL_COLUMNS} FROM in_deals q JOIN exported e ON q.trading_account = e.platform_login_id
-WHERE e.uuid = {_SLICED}""",
+WHERE e.uuid = (SELECT min(uuid) FROM in_deals JOIN exported ON trading_account = platform_login_id)""",
     )
 )
 def export_slice_by_account(spark, sf_dir):
-    # md5('platform_accounts:500004') in the layout of a uuid.
-    one = "347b60c0-a0f5-3723-c3d0-03ceccd78583"
     deals = facts.export_deals(derived(spark, sf_dir, "deals"), _account_keys(spark, sf_dir), id_keys=DEAL_KEYS)
-    return facts.slice_deals(deals, one)
-
-
-_DEFAULTED = set(acc.SETTING_FLAGS) | set(acc.SETTING_NUMBERS)
+    first = deals.agg(F.min("platform_account_uuid")).first()[0]
+    return facts.slice_deals(deals, first)
 
 
 def _setting_sql(column: str) -> str:
