@@ -297,7 +297,7 @@ def brute(facts, dim, inner=False, required=False):
 def test_lookup_against_brute_force(spark, facts, dim, shuffled_joins, inner, required, salted):
     got = lookup.lookup(
         facts, dim, "k", "key", {"v": "v"}, unique=True, inner=inner, required=["v"] if required else [],
-        salt_hot=F.col("id") if salted else None,
+        salt_hot=F.col("id") if salted else None, hot_rows=20,
     )
     assert got.columns == ["id", "k", "v"]
     assert rows(got) == brute(facts, dim, inner, required)
@@ -367,8 +367,10 @@ def test_member_flag(spark):
     assert {r.f for r in lookup.flag_member(df, "g", listed.limit(0), "n", [], "f").collect()} == {False, None}
 
 
-def test_hot_keys_are_few(spark, facts):
-    assert [r[0] for r in lookup.hot_keys(facts, "k", 0.3).collect()] == ["hot"]
+def test_hot_keys_are_spread_by_their_size(spark, facts):
+    assert [tuple(r) for r in lookup.hot_keys(facts, "k", 50).collect()] == [("hot", 4)]
+    assert lookup.hot_keys(facts, "k", 50, min_share=0.9).count() == 0
+    assert lookup.hot_keys(facts, "k").count() == 0
 
 
 # -- audits -----------------------------------------------------------------------------

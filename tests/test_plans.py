@@ -78,8 +78,9 @@ def test_only_hot_keys_are_broadcast_when_salting(spark, shuffled_joins):
     df = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     dim = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     salted = lookup.lookup(
-        df, dim, "l_orderkey", "o_orderkey", {"s": "o_orderstatus"}, unique=True, salt_hot=F.col("l_partkey")
-    )
+        df, dim, "l_orderkey", "o_orderkey", {"s": "o_orderstatus"}, unique=True, salt_hot=F.col("l_partkey"),
+        hot_rows=5,
+    )
     plan = physical(salted)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
     assert salted.count() == df.count()

@@ -17,8 +17,12 @@ from transhume.functions.text import text_of
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
+_SALTS = "__lookup_salts"
 _TOTAL = "__lookup_total"
 
+# Rows of one key that a single task takes without being split.
+HOT_ROWS = 1_000_000
+
 
 def as_lookup_table(
     dim: DataFrame,
@@ -57,13 +61,14 @@ def lookup(
     inner: bool = False,
     required: Sequence[str] = (),
     salt_hot: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Bring values of a lookup table to every row; null where nothing matches.
 
     ``take`` maps new columns to columns of ``dim``; several come with one join.
     ``text`` compares both keys as text. ``inner`` drops rows without a match, and
     ``required`` also those whose named values are null. ``salt_hot`` names what to
-    spread the rows of a frequent key by (see ``spread_hot_keys``).
+    spread the rows of a key by that has more than ``hot_rows`` of them.
     """
     table = as_lookup_table(dim, key, take, text, last_by, unique)
     for name in required:
@@ -72,7 +77,7 @@ def lookup(
     keyed = text_of(column) if text else column
     how = "inner" if inner else "left"
     if salt_hot is not None:
-        return salted_join(df.withColumn("__on", keyed), table, "__on", salt_hot, how).drop("__on")
+        return salted_join(df.withColumn("__on", keyed), table, "__on", salt_hot, how, hot_rows).drop("__on")
     joined = df.join(table, keyed == table[_KEY], how)
     return joined.drop(_KEY)
 
@@ -180,11 +185,16 @@ def with_template(df: DataFrame, template: DataFrame, columns: Sequence[str], or
     return held.select(*df.columns, *[F.col("__t").getField(c).alias(c) for c in columns])
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys that hold at least a share of all rows: at most ``1 / share`` of them."""
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = HOT_ROWS, min_share: float = 1e-5) -> DataFrame:
+    """Keys with more rows than one task should take, and the tasks to spread each over.
+
+    A key also has to hold a minimum share of the table, so that there are at most
+    ``1 / min_share`` of them however large the table is.
+    """
     counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("__n"))
     total = df.agg(F.count(F.lit(1)).alias(_TOTAL)).scalar()
-    return counts.filter(F.col("__n") >= total * F.lit(share)).select(_KEY)
+    hot = counts.filter((F.col("__n") > rows_per_task) & (F.col("__n") >= total * F.lit(min_share)))
+    return hot.select(_KEY, F.ceil(F.col("__n") / rows_per_task).cast("int").alias(_SALTS))
 
 
 def salted_join(
@@ -193,28 +203,26 @@ def salted_join(
     on: str,
     spread_by: Column,
     how: str = "left",
-    share: float = 0.01,
-    salts: int = 64,
+    rows_per_task: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join a lookup table, spreading frequent and null keys over several tasks.
+    """Join a lookup table, spreading frequent and missing keys over several tasks.
 
-    Rows of a hot key carry a salt taken from ``spread_by``; the table's row for that
-    key is repeated once per salt. All other keys are joined as they are. The list of
-    hot keys is bounded by ``1 / share`` rows, which makes it safe to broadcast.
+    Rows of a hot key carry a salt taken from ``spread_by``, and the table's row for that
+    key is repeated once per salt; the more rows a key has, the more salts. Rows without
+    a key match nothing and are spread at will. All other keys are joined as they are.
+    Only the short list of hot keys is broadcast.
     """
-    hot = hot_keys(df, on, share)
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    marked = hot.select(F.col(_KEY).alias("__hot"))
-    left = df.join(F.broadcast(marked), F.col(on) == F.col("__hot"), "left").withColumn(
-        _SALT, F.when(F.col("__hot").isNotNull() | F.col(on).isNull(), salt).otherwise(F.lit(0))
+    hot = hot_keys(df, on, rows_per_task).select(F.col(_KEY).alias("__hot"), _SALTS)
+    spread = F.xxhash64(spread_by)
+    salt = (
+        F.when(F.col(on).isNull(), F.pmod(spread, F.lit(2**31 - 1)))
+        .when(F.col(_SALTS).isNotNull(), F.pmod(spread, F.col(_SALTS)))
+        .otherwise(F.lit(0))
     )
-    right = (
-        table.join(F.broadcast(marked), F.col(_KEY) == F.col("__hot"), "left")
-        .withColumn(
-            "__salt_r",
-            F.explode(F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("__hot")
+    left = df.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left").withColumn(_SALT, salt.cast("int"))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS) - 1, F.lit(0)))
+    right = table.join(F.broadcast(hot), F.col(_KEY) == F.col("__hot"), "left").withColumn("__copy", F.explode(copies))
+    joined = left.drop("__hot", _SALTS).join(
+        right.drop("__hot", _SALTS), (F.col(on) == F.col(_KEY)) & (F.col(_SALT) == F.col("__copy")), how
     )
-    joined = left.drop("__hot").join(right, (F.col(on) == F.col(_KEY)) & (F.col(_SALT) == F.col("__salt_r")), how)
-    return joined.drop(_KEY, _SALT, "__salt_r")
+    return joined.drop(_KEY, _SALT, "__copy")

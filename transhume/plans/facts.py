@@ -28,6 +28,7 @@ def with_account(
     drop_orphans: bool = True,
     with_user: bool = False,
     spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
 ) -> DataFrame:
     """Account uuid (and its user's) by login, compared as text."""
     taken = {"platform_account_uuid": "uuid"}
@@ -46,6 +47,7 @@ def with_account(
         inner=drop_orphans,
         required=["platform_account_uuid"],
         salt_hot=spread_by,
+        hot_rows=hot_rows,
     )
 
 
@@ -58,9 +60,10 @@ def export_platform_events(
     events: DataFrame,
     accounts: DataFrame | None,
     spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["platform_events"],
 ) -> DataFrame:
-    df = with_account(events, accounts, "login", with_user=True, spread_by=spread_by)
+    df = with_account(events, accounts, "login", with_user=True, spread_by=spread_by, hot_rows=hot_rows)
     df = conform.with_constants(
         df,
         {
@@ -78,6 +81,7 @@ def export_breach_activities(
     breaches: DataFrame,
     accounts: DataFrame | None,
     spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["breach_activities"],
 ) -> DataFrame:
     # Column names differ by more than case, so the source id is renamed out of the way first.
@@ -90,7 +94,7 @@ def export_breach_activities(
             "IsBreached": "is_breached",
         },
     )
-    df = with_account(df, accounts, "account_login", spread_by=spread_by)
+    df = with_account(df, accounts, "account_login", spread_by=spread_by, hot_rows=hot_rows)
     df = conform.with_constants(df, {"id": uuid_from("breach_activities", "_source_id")})
     df = conform.cast_columns(df, {"is_breached": "boolean"})
     df = conform.parse_seconds(df, ["last_breach_date"], SECONDS_SHAPE)
@@ -103,10 +107,11 @@ def export_equity_daily(
     accounts: DataFrame | None,
     id_keys: Sequence[str] | None = None,
     spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] = TARGETS["equity_daily"],
 ) -> DataFrame:
     """Daily equity of known accounts; text that is no date or time is an error."""
-    df = with_account(equity, accounts, "trading_account", spread_by=spread_by)
+    df = with_account(equity, accounts, "trading_account", spread_by=spread_by, hot_rows=hot_rows)
     df = filters.not_null(df, "platform_account_uuid")
     df = conform.with_constants(df, {"id": _row_id("equity_daily", id_keys)})
     types = {"day": "date", "created_date": "timestamp_ntz", "equity_eod_mt5": "double"}
@@ -118,10 +123,11 @@ def _deals(
     accounts: DataFrame | None,
     id_keys: Sequence[str] | None,
     spread_by: Column | None,
+    hot_rows: int,
     columns: Sequence[str] | None,
     types: dict[str, str],
 ) -> DataFrame:
-    df = with_account(deals, accounts, "trading_account", spread_by=spread_by)
+    df = with_account(deals, accounts, "trading_account", spread_by=spread_by, hot_rows=hot_rows)
     df = filters.not_null(df, "platform_account_uuid")
     df = conform.with_constants(df, {"id": _row_id("deals", id_keys)})
     return conform.select_available(conform.cast_columns(df, types), columns)
@@ -135,10 +141,11 @@ def export_deals(
     accounts: DataFrame | None,
     id_keys: Sequence[str] | None = None,
     spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["deals"],
 ) -> DataFrame:
     """Deals of known accounts; a deal time that does not parse is an error."""
-    return _deals(deals, accounts, id_keys, spread_by, columns, {**_DEAL_TYPES, "deal_time": "timestamp_ntz"})
+    return _deals(deals, accounts, id_keys, spread_by, hot_rows, columns, {**_DEAL_TYPES, "deal_time": "timestamp_ntz"})
 
 
 def export_recent_deals(
@@ -148,12 +155,13 @@ def export_recent_deals(
     days: int = 180,
     id_keys: Sequence[str] | None = None,
     spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["deals"],
 ) -> DataFrame:
     """Deals of the last days; deal times that do not parse count as unknown and go."""
     timed = deals.withColumn("deal_time", try_timestamp(F.col("deal_time")))
     recent = filters.since_days(timed, "deal_time", as_of, days)
-    return _deals(recent, accounts, id_keys, spread_by, columns, _DEAL_TYPES)
+    return _deals(recent, accounts, id_keys, spread_by, hot_rows, columns, _DEAL_TYPES)
 
 
 def slice_deals(deals: DataFrame, account_uuid: str) -> DataFrame:

@@ -340,6 +340,7 @@ def export_deals_salted(spark, sf_dir):
         _account_keys(spark, sf_dir),
         id_keys=DEAL_KEYS,
         spread_by=F.struct("deal_id", "position_id"),
+        hot_rows=1000,
     )
 
 

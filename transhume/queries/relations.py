@@ -125,6 +125,7 @@ def lookup_hot_key(spark, sf_dir):
         {"priority": "o_orderpriority"},
         unique=True,
         salt_hot=F.struct("l_partkey", "l_suppkey"),
+        hot_rows=1000,
     )
 
 

@@ -91,9 +91,9 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | str | N
         raise
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Write one table as a folder of CSV files with headers."""
-    df.write.mode("overwrite").options(**_CSV_WRITE).csv(path)
+    df.write.mode("overwrite").options(**_CSV_WRITE).csv(path, compression=compression)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
