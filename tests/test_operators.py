@@ -311,6 +311,13 @@ def test_last_of_repeated_keys_wins(spark):
         lookup.lookup(facts, dim, "k", "key", {"v": "v"})
 
 
+def test_lookup_replaces_columns_of_the_same_name(spark):
+    facts = spark.createDataFrame([(1, "old", 5)], "k int, v string, n int")
+    dim = spark.createDataFrame([(1, "new", 7)], "key int, v string, k int")
+    got = lookup.lookup(facts, dim, "k", "key", {"v": "v", "k": "k"}, unique=True).first().asDict()
+    assert got == {"n": 5, "v": "new", "k": 7}
+
+
 def test_text_lookup_keeps_leading_zeros_apart(spark):
     facts = spark.createDataFrame([("7",), ("07",)], "k string")
     dim = spark.createDataFrame([(7, "x")], "key bigint, v string")

@@ -65,7 +65,8 @@ def lookup(
 ) -> DataFrame:
     """Bring values of a lookup table to every row; null where nothing matches.
 
-    ``take`` maps new columns to columns of ``dim``; several come with one join.
+    ``take`` maps new columns to columns of ``dim``; several come with one join, and
+    columns of these names that the table has already are replaced.
     ``text`` compares both keys as text. ``inner`` drops rows without a match, and
     ``required`` also those whose named values are null. ``salt_hot`` names what to
     spread the rows of a key by that has more than ``hot_rows`` of them.
@@ -76,6 +77,16 @@ def lookup(
     column = F.col(on) if isinstance(on, str) else on
     keyed = text_of(column) if text else column
     how = "inner" if inner else "left"
+    replaced = [n for n in take if n in df.columns]
+    if replaced:
+        df, keyed = df.withColumn("__key", keyed).drop(*replaced), F.col("__key")
+        return _join(df, table, keyed, how, salt_hot, hot_rows).drop("__key")
+    return _join(df, table, keyed, how, salt_hot, hot_rows)
+
+
+def _join(
+    df: DataFrame, table: DataFrame, keyed: Column, how: str, salt_hot: Column | None, hot_rows: int
+) -> DataFrame:
     if salt_hot is not None:
         return salted_join(df.withColumn("__on", keyed), table, "__on", salt_hot, how, hot_rows).drop("__on")
     joined = df.join(table, keyed == table[_KEY], how)
