@@ -198,6 +198,17 @@ def test_platform_accounts(spark, accounts, uuids):
     assert len({r["uuid"] for r in got.values()}) == len(got)
 
 
+def test_salting_and_kept_null_purchases(spark, groups, keys, accounts):
+    salted = build_accounts(spark, groups, keys, spread_by=F.col("login"), hot_rows=3)
+    assert sorted(map(str, salted.collect())) == sorted(map(str, accounts.collect()))
+    kept = build_accounts(spark, groups, keys, spread_by=F.col("login"), hot_rows=3, null_purchases="keep")
+    assert {r.platform_login_id for r in kept.collect()} - {r.platform_login_id for r in accounts.collect()} == {"106"}
+    payouts = given.payout_requests(spark)
+    plain = sales.export_payout_requests(payouts, keys, accounts, given.OWNER)
+    spread = sales.export_payout_requests(payouts, keys, accounts, given.OWNER, spread_by=F.col("id"), hot_rows=1)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
+
+
 def test_secrets_only_on_request(spark, groups, keys):
     kept = by(build_accounts(spark, groups, keys, keep_secrets=True), "platform_login_id")
     assert (kept["100"]["main_password"], kept["100"]["investor_password"]) == ("m", "i")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as job
 from transhume.operators import dedup, filters, lookup
 from transhume.plans import facts
-from transhume.queries.exports import _account_keys, _accounts
+from transhume.queries.exports import _accounts, _exported
 from transhume.queries.inputs import derived
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -61,7 +61,7 @@ def _shuffle_records(df) -> list[int]:
 
 
 def test_fact_export_does_not_shuffle_the_facts(spark):
-    plan = physical(facts.export_deals(derived(spark, SF_DIR, "deals"), _account_keys(spark, SF_DIR), id_keys=["deal_id"]))
+    plan = physical(facts.export_deals(derived(spark, SF_DIR, "deals"), _exported(spark, SF_DIR), id_keys=["deal_id"]))
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     scan = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
     assert "l_linestatus" not in scan

@@ -108,6 +108,8 @@ def lookup_two_hop(
     survivor_key: str,
     take: dict[str, str],
     last_by: Sequence[str | Column] | None = None,
+    salt_hot: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Key → intermediate value → values of the row that survived under that value.
 
@@ -121,7 +123,9 @@ def lookup_two_hop(
     left = hops.select(F.col(hop_key).alias("__h"), F.col(hop_value).alias("__m"), *[c for c in (last_by or [])])
     resolved = left.join(right, left["__m"].eqNullSafe(right["__s"]), "inner")
     names = {n: n for n in take}
-    return lookup(df, resolved, on, "__h", names, last_by=last_by, unique=last_by is None)
+    return lookup(
+        df, resolved, on, "__h", names, last_by=last_by, unique=last_by is None, salt_hot=salt_hot, hot_rows=hot_rows
+    )
 
 
 def composite_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], take: dict[str, str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transhume import rulebook
@@ -113,10 +113,17 @@ def export_platform_accounts(
     data_last_by: Sequence[str] = ("main_password", "investor_password"),
     null_purchases: str = dedup.COLLAPSE,
     keep_secrets: bool = False,
+    spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["platform_accounts"],
 ) -> DataFrame:
-    """Accounts of the target platform. Sources that are absent leave their columns null."""
+    """Accounts of the target platform. Sources that are absent leave their columns null.
+
+    ``spread_by`` salts users with many accounts and, where they were kept, accounts
+    without a purchase.
+    """
     nothing = F.lit(None).cast("string")
+    salting = {"salt_hot": spread_by, "hot_rows": hot_rows}
     df = surviving_accounts(accounts, preferences, order_by, null_purchases)
     # The lookups by login follow each other: after the last dedup the rows already lie by login.
     df = with_known_group(df, stats, stats_last_by)
@@ -133,12 +140,13 @@ def export_platform_accounts(
         df = df.withColumns({"user_uuid": nothing, "identity_status": nothing})
     else:
         taken = {"user_uuid": "uuid", "identity_status": "identity_status"}
-        df = lookup.lookup(df, user_keys, "user_id", "id", taken, unique=True)
+        df = lookup.lookup(df, user_keys, "user_id", "id", taken, unique=True, **salting)
     df = df.withColumn("is_kyc", rules.flag_if(F.col("identity_status"), "completed"))
     if purchase_keys is None:
         df = df.withColumn("purchase_uuid", nothing)
     else:
-        df = lookup.lookup(df, purchase_keys, "purchase_id", "id", {"purchase_uuid": "uuid"}, unique=True)
+        found = {"purchase_uuid": "uuid"}
+        df = lookup.lookup(df, purchase_keys, "purchase_id", "id", found, unique=True, **salting)
     df = conform.with_defaults(
         df,
         {

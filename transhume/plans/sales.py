@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transhume import rulebook
@@ -62,21 +62,24 @@ def export_purchases(
     keys: DataFrame,
     codes: DataFrame | None = None,
     exported_codes: DataFrame | None = None,
+    spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["purchases"],
 ) -> DataFrame:
     """Purchases with the uuids of buyer and discount.
 
     The discount goes by way of its code, so the id of a removed duplicate leads to the
-    code that stayed.
+    code that stayed. ``spread_by`` salts buyers and discounts with many purchases.
     """
+    salting = {"salt_hot": spread_by, "hot_rows": hot_rows}
     nothing = F.lit(None).cast("string")
     df = conform.with_constants(purchases, {"uuid": uuid_from("purchases", "id")})
-    df = lookup.lookup(df, keys, "user_id", "id", {"user_uuid": "uuid"}, unique=True)
+    df = lookup.lookup(df, keys, "user_id", "id", {"user_uuid": "uuid"}, unique=True, **salting)
     if codes is None or exported_codes is None:
         df = df.withColumn("discount_uuid", nothing)
     else:
         df = lookup.lookup_two_hop(
-            df, codes, exported_codes, "discount_id", "id", "code", "code", {"discount_uuid": "uuid"}
+            df, codes, exported_codes, "discount_id", "id", "code", "code", {"discount_uuid": "uuid"}, **salting
         )
     df = conform.with_defaults(
         df,
@@ -98,15 +101,18 @@ def export_payout_requests(
     keys: DataFrame,
     accounts: DataFrame,
     owner_email: str,
+    spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["payout_requests"],
 ) -> DataFrame:
-    """Payouts of known users; the account may be unknown."""
-    df = lookup.lookup(
-        payouts, keys, "user_id", "id", {"user_uuid": "uuid"}, text=True, unique=True, inner=True
-    )
-    df = lookup.lookup(
-        df, accounts, "program_login", "platform_login_id", {"platform_account_uuid": "uuid"}, text=True, unique=True
-    )
+    """Payouts of known users; the account may be unknown.
+
+    ``spread_by`` salts users and accounts with many payouts.
+    """
+    options = {"text": True, "unique": True, "salt_hot": spread_by, "hot_rows": hot_rows}
+    df = lookup.lookup(payouts, keys, "user_id", "id", {"user_uuid": "uuid"}, inner=True, **options)
+    account = {"platform_account_uuid": "uuid"}
+    df = lookup.lookup(df, accounts, "program_login", "platform_login_id", account, **options)
     code = F.concat(F.lit("AFF-"), code_from("payouts", "id"))
     df = conform.with_constants(
         df,

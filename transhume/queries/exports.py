@@ -52,10 +52,9 @@ def _accounts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 @once
-def _account_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exported accounts, written once and read by all that refers to them."""
-    columns = ["uuid", "user_uuid", "platform_group_uuid", "platform_login_id"]
-    return stage(_accounts(spark, sf_dir).select(*columns), "account_keys")
+    return stage(_accounts(spark, sf_dir), "platform_accounts")
 
 
 _USER_KEYS = f"user_keys AS (SELECT id, username, identity_status, {uuid_sql('users', 'id')} AS uuid FROM in_users)"
@@ -189,10 +188,7 @@ def export_default_settings(spark, sf_dir):
     return people.export_default_settings(derived(spark, sf_dir, "default_settings"), _keys(spark, sf_dir), OWNER)
 
 
-@query(
-    with_inputs(
-        ["users", "discount_codes", "purchases"],
-        f"""WITH {_USER_KEYS}, {_CODES}
+_PURCHASES_SQL = f"""WITH {_USER_KEYS}, {_CODES}
 SELECT {uuid_sql('purchases', 'p.id')} AS uuid, u.uuid AS user_uuid, amount_total, currency,
   upper(payment_method) AS payment_method, payment_status, is_paid_aff_commission, user_data, original_amount,
   c.uuid AS discount_uuid, already_paid, payment_transaction_id, payment_response, payment_attempt_count, created_at,
@@ -200,16 +196,26 @@ SELECT {uuid_sql('purchases', 'p.id')} AS uuid, u.uuid AS user_uuid, amount_tota
   CAST(NULL AS VARCHAR) AS competition_uuid, CAST(NULL AS VARCHAR) AS ip
 FROM in_purchases p LEFT JOIN user_keys u ON p.user_id = u.id
 LEFT JOIN in_discount_codes o ON p.discount_id = o.id
-LEFT JOIN codes c ON o.id IS NOT NULL AND o.code IS NOT DISTINCT FROM c.code""",
-    )
-)
-def export_purchases(spark, sf_dir):
+LEFT JOIN codes c ON o.id IS NOT NULL AND o.code IS NOT DISTINCT FROM c.code"""
+
+
+def _purchases(spark, sf_dir, **options):
     codes = derived(spark, sf_dir, "discount_codes")
     return sales.export_purchases(
-        derived(spark, sf_dir, "purchases"), _keys(spark, sf_dir), codes, sales.surviving_codes(codes)
+        derived(spark, sf_dir, "purchases"), _keys(spark, sf_dir), codes, sales.surviving_codes(codes), **options
     )
 
 
+@query(with_inputs(["users", "discount_codes", "purchases"], _PURCHASES_SQL))
+def export_purchases(spark, sf_dir):
+    return _purchases(spark, sf_dir)
+
+
+@query(with_inputs(["users", "discount_codes", "purchases"], _PURCHASES_SQL))
+def export_purchases_salted(spark, sf_dir):
+    return _purchases(spark, sf_dir, spread_by=F.col("id"), hot_rows=500)
+
+
 @query(_over_accounts([], "SELECT * FROM exported"))
 def export_platform_accounts(spark, sf_dir):
     return _accounts(spark, sf_dir, keep_secrets=True)
@@ -248,7 +254,7 @@ FROM in_account_stats s JOIN exported e ON s.account_login = e.platform_login_id
 )
 def export_account_stats(spark, sf_dir):
     return acc.export_account_stats(
-        derived(spark, sf_dir, "account_stats"), _account_keys(spark, sf_dir), id_keys=STATS_KEYS
+        derived(spark, sf_dir, "account_stats"), _exported(spark, sf_dir), id_keys=STATS_KEYS
     )
 
 
@@ -263,7 +269,7 @@ FROM in_platform_events v JOIN exported e ON v.login = e.platform_login_id""",
     )
 )
 def export_platform_events(spark, sf_dir):
-    return facts.export_platform_events(derived(spark, sf_dir, "platform_events"), _account_keys(spark, sf_dir))
+    return facts.export_platform_events(derived(spark, sf_dir, "platform_events"), _exported(spark, sf_dir))
 
 
 @query(
@@ -276,7 +282,7 @@ FROM in_breach_activities b JOIN exported e ON b.account_login = e.platform_logi
     )
 )
 def export_breach_activities(spark, sf_dir):
-    return facts.export_breach_activities(derived(spark, sf_dir, "breach_activities"), _account_keys(spark, sf_dir))
+    return facts.export_breach_activities(derived(spark, sf_dir, "breach_activities"), _exported(spark, sf_dir))
 
 
 @query(
@@ -293,7 +299,7 @@ LEFT JOIN exported e ON p.program_login = e.platform_login_id""",
 )
 def export_payout_requests(spark, sf_dir):
     return sales.export_payout_requests(
-        derived(spark, sf_dir, "payout_requests"), _keys(spark, sf_dir), _account_keys(spark, sf_dir), OWNER
+        derived(spark, sf_dir, "payout_requests"), _keys(spark, sf_dir), _exported(spark, sf_dir), OWNER
     )
 
 
@@ -308,7 +314,7 @@ FROM in_equity_daily q JOIN exported e ON q.trading_account = e.platform_login_i
 )
 def export_equity_daily(spark, sf_dir):
     return facts.export_equity_daily(
-        derived(spark, sf_dir, "equity_daily"), _account_keys(spark, sf_dir), id_keys=EQUITY_KEYS
+        derived(spark, sf_dir, "equity_daily"), _exported(spark, sf_dir), id_keys=EQUITY_KEYS
     )
 
 
@@ -325,7 +331,7 @@ _DEAL_COLUMNS = f"""{uuid_sql('deals', *DEAL_KEYS)} AS id, deal_id, position_id,
     )
 )
 def export_deals(spark, sf_dir):
-    return facts.export_deals(derived(spark, sf_dir, "deals"), _account_keys(spark, sf_dir), id_keys=DEAL_KEYS)
+    return facts.export_deals(derived(spark, sf_dir, "deals"), _exported(spark, sf_dir), id_keys=DEAL_KEYS)
 
 
 @query(
@@ -337,7 +343,7 @@ def export_deals(spark, sf_dir):
 def export_deals_salted(spark, sf_dir):
     return facts.export_deals(
         derived(spark, sf_dir, "deals"),
-        _account_keys(spark, sf_dir),
+        _exported(spark, sf_dir),
         id_keys=DEAL_KEYS,
         spread_by=F.struct("deal_id", "position_id"),
         hot_rows=1000,
@@ -357,7 +363,7 @@ def export_recent_deals(spark, sf_dir):
     deals = derived(spark, sf_dir, "deals")
     spoiled = F.when(F.col("position_id") % 50 == 0, F.lit("n/a")).otherwise(F.col("deal_time"))
     return facts.export_recent_deals(
-        deals.withColumn("deal_time", spoiled), _account_keys(spark, sf_dir), AS_OF, id_keys=DEAL_KEYS
+        deals.withColumn("deal_time", spoiled), _exported(spark, sf_dir), AS_OF, id_keys=DEAL_KEYS
     )
 
 
@@ -369,7 +375,7 @@ WHERE e.uuid = (SELECT min(uuid) FROM in_deals JOIN exported ON trading_account
     )
 )
 def export_slice_by_account(spark, sf_dir):
-    deals = facts.export_deals(derived(spark, sf_dir, "deals"), _account_keys(spark, sf_dir), id_keys=DEAL_KEYS)
+    deals = facts.export_deals(derived(spark, sf_dir, "deals"), _exported(spark, sf_dir), id_keys=DEAL_KEYS)
     first = deals.agg(F.min("platform_account_uuid")).first()[0]
     return facts.slice_deals(deals, first)
 
@@ -404,7 +410,7 @@ _SETTINGS = f"""
 
 
 def _settings(spark, sf_dir, accounts=None):
-    accounts = accounts if accounts is not None else _account_keys(spark, sf_dir)
+    accounts = accounts if accounts is not None else _exported(spark, sf_dir)
     return acc.export_challenge_settings(
         derived(spark, sf_dir, "default_settings"), _groups(spark, sf_dir), accounts, "2024-06-01 12:00:00"
     )
@@ -479,7 +485,7 @@ def audit_accounts(spark, sf_dir):
             derived(spark, sf_dir, "accounts"),
             derived(spark, sf_dir, "account_stats"),
             _groups(spark, sf_dir),
-            _account_keys(spark, sf_dir),
+            _exported(spark, sf_dir),
             derived(spark, sf_dir, "preferred_logins"),
             order_by=("src_id",),
         )
@@ -532,7 +538,7 @@ _FACTS_AUDIT = ", n AS (SELECT count(*) AS a, count(*) FILTER (trading_account I
     )
 )
 def audit_equity_daily(spark, sf_dir):
-    return _flat(audits.audit_facts(derived(spark, sf_dir, "equity_daily"), _account_keys(spark, sf_dir)))
+    return _flat(audits.audit_facts(derived(spark, sf_dir, "equity_daily"), _exported(spark, sf_dir)))
 
 
 @query(
@@ -544,7 +550,7 @@ def audit_equity_daily(spark, sf_dir):
     )
 )
 def audit_deals(spark, sf_dir):
-    return _flat(audits.audit_facts(derived(spark, sf_dir, "deals"), _account_keys(spark, sf_dir)))
+    return _flat(audits.audit_facts(derived(spark, sf_dir, "deals"), _exported(spark, sf_dir)))
 
 
 @query(
@@ -559,7 +565,7 @@ def audit_deals(spark, sf_dir):
     )
 )
 def audit_settings(spark, sf_dir):
-    return _flat(audits.audit_settings(_groups(spark, sf_dir), _account_keys(spark, sf_dir)))
+    return _flat(audits.audit_settings(_groups(spark, sf_dir), _exported(spark, sf_dir)))
 
 
 @query(
@@ -588,7 +594,7 @@ FROM p GROUP BY measure, value""",
     )
 )
 def account_distributions(spark, sf_dir):
-    return audits.account_distributions(_accounts(spark, sf_dir))
+    return audits.account_distributions(_exported(spark, sf_dir))
 
 
 @query(
@@ -600,7 +606,7 @@ def account_distributions(spark, sf_dir):
     )
 )
 def account_summary(spark, sf_dir):
-    return audits.summary(derived(spark, sf_dir, "accounts"), _accounts(spark, sf_dir))
+    return audits.summary(derived(spark, sf_dir, "accounts"), _exported(spark, sf_dir))
 
 
 # -- everything ------------------------------------------------------------------------
