@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -168,45 +170,70 @@ def plan_of(demand: np.ndarray, room: int) -> Plan:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    import os
-
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
-class Encoder:
+#: The vocabulary's own pattern for words, for texts of ASCII and Latin-1 in lower case.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+
+#: Any other character: such a text goes to the tokenizer whole.
+_FOREIGN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xff]")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write a byte: itself if it is visible, else one from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+
+
+class Encoder(dict):
     """Ids of whole texts as little-endian 32-bit numbers.
 
-    The vocabulary's rules never look across white space, so the ids of a text are those of
-    its words; a word is encoded once while it is remembered.
+    The tokenizer lower-cases a text, cuts it into words and merges each alone, so the ids of
+    a text are those of its words; those of a word are kept while there is room.
     """
 
     def __init__(self, path: str, end: int):
-        self.path, self.end, self.known = path, np.array([end], "<u4").tobytes(), {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        worded = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for a in range(0, len(worded), 64):
-            part = worded[a : a + 64]
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            new = list({w for words in part for w in words if w not in self.known})
-            for w, e in zip(new, _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-            out += [b"".join(map(self.known.__getitem__, words)) + self.end for words in part]
-        return out
+        super().__init__()
+        self.tokenizer, self.end = _tokenizer(path), np.array([end], "<u4").tobytes()
+        self.merge = self.tokenizer.model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+        self[word] = ids = np.array([t.id for t in self.merge(letters)], "<u4").tobytes()
+        return ids
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return self.end
+        if _FOREIGN.search(text) or "<|" in text:  # "<|" may begin a special token
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            ids = b"".join(map(self.__getitem__, _WORDS.findall(text.lower())))
+        return ids + self.end
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str, end: int) -> Encoder:
+    """One per worker process: what a task has learned serves the next."""
+    return Encoder(path, end)
 
 
 def _pieces(path: str, end: int, capacity: int, unit: int, ids: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path, end)
     fields = [("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("class", pa.int32()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + ([("ids", pa.binary())] if ids else []))
     for b in batches:
         rows, own = [], []
-        for i, data in enumerate(encoder.encode(b.column("text").to_pylist())):
+        for i, data in enumerate(_encoder(path, end).encode(t.as_py()) for t in b.column("text")):
             n = len(data) // 4
             for start in range(0, n, capacity):
                 part = data[4 * start : 4 * (start + capacity)]
