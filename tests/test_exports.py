@@ -425,6 +425,26 @@ def test_without_accounts_the_dependents_say_so(spark):
     assert made["deals"].count() == 0 and made["platform_events"].count() == 4
 
 
+@pytest.mark.parametrize(
+    ("source", "dependents"),
+    [
+        ("accounts", {"account_stats", "platform_events", "breach_activities", "payout_requests", "equity_daily", "deals", "recent_deals", "challenge_settings"}),
+        ("discount_codes", {"purchases"}),
+        ("platform_groups", {"platform_accounts"}),
+    ],
+)
+def test_what_reads_a_failed_export_fails_too(spark, source, dependents):
+    sources, written = given.everything(spark), []
+    broken = F.raise_error(F.lit("broken source"))
+    sources[source] = sources[source].withColumns({c: broken.cast(t) for c, t in sources[source].dtypes})
+    made, outcomes = run(spark, sources, lambda df, name: written.append((name, df.count())))
+    upstream = {"accounts": "platform_accounts"}.get(source, source)
+    failed = {o.name: o.error for o in outcomes if not o.ok}
+    assert {upstream, *dependents} <= set(failed)
+    assert all(f"needs {upstream}, which failed" in failed[d] for d in dependents)
+    assert not {n for n, _ in written} & set(failed)
+
+
 def test_single_export_brings_what_it_reads(spark):
     written = []
     made, outcomes = run(spark, given.everything(spark), lambda df, name: written.append(name), only=["deals"])

@@ -31,6 +31,18 @@ def test_uuid_tells_key_parts_apart(spark):
     assert df.select(uuid_from("t", "a", "b")).distinct().count() == 3
 
 
+def test_uuid_tells_texts_with_separators_apart(spark):
+    rows = [("a:b", "c"), ("a", "b:c"), ("a|1:b", None), ("a", "1:b"), (None, "N"), ("N", None), ("\\N", None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.select(uuid_from("t", "a", "b")).distinct().count() == len(rows)
+
+
+def test_codes_hardly_repeat(spark):
+    made = spark.range(1_000_000).select(code_from("c", "id").alias("c"), random_code().alias("r"))
+    counts = made.agg(F.countDistinct("c"), F.countDistinct("r")).first()
+    assert min(counts) >= 999_995
+
+
 def test_random_keys_are_unique_and_codes_alphanumeric(spark):
     df = spark.range(500).select(random_uuid().alias("u"), random_code().alias("r"), code_from("c", "id").alias("c"))
     got = df.collect()
@@ -376,7 +388,7 @@ def test_member_flag(spark):
 
 def test_hot_keys_are_spread_by_their_size(spark, facts):
     assert [tuple(r) for r in lookup.hot_keys(facts, "k", 50).collect()] == [("hot", 4)]
-    assert lookup.hot_keys(facts, "k", 50, min_share=0.9).count() == 0
+    assert [r[0] for r in lookup.hot_keys(facts, "k", 1, most=1).collect()] == ["hot"]
     assert lookup.hot_keys(facts, "k").count() == 0
 
 

@@ -12,6 +12,7 @@ from transhume.operators import dedup, filters, lookup
 from transhume.plans import facts
 from transhume.queries.exports import _accounts, _exported
 from transhume.queries.inputs import derived
+from transhume.queries.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,7 +23,7 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(job.queries()) - {"export_all"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"export_all"}))
 def test_no_cross_join_and_no_python(spark, name):
     plan = physical(job.queries()[name](spark, SF_DIR))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", plan)
@@ -129,3 +130,15 @@ def test_shared_counts_are_computed_once(spark):
     df.collect()
     final = physical(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def test_salted_lookups_do_not_repeat_the_facts(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 3 AS a", "id % 5 AS b", "id % 7 AS c").write.parquet(str(tmp_path / "facts"))
+    facts_table = spark.read.parquet(str(tmp_path / "facts"))
+    df = facts_table
+    for key in "abc":
+        dim = spark.range(10).selectExpr("id AS k", f"id * 10 AS {key}_value")
+        taken = {f"{key}_value": f"{key}_value"}
+        df = lookup.lookup(df, dim, key, "k", taken, unique=True, salt_hot=F.col("id"), hot_rows=100, hot_in=facts_table)
+    assert len(re.findall(r"FileScan parquet \[[^\]]*a#[^\]]*b#", physical(df))) == 1
+    assert df.where("a_value = a * 10 AND b_value = b * 10 AND c_value = c * 10").count() == 1000

@@ -162,7 +162,10 @@ def test_dump_load(spark, dump_path, split_bytes):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     try:
-        got = dump.load_dump(spark, dump_path, {"notes": "id bigint, body string, n double"})
+        schemas = {"notes": "id bigint, body string, n double"}
+        with pytest.raises(dump.RejectedStatements, match="cut off"):
+            dump.load_dump(spark, dump_path, schemas)
+        got = dump.load_dump(spark, dump_path, schemas, skip_rejected=True)
         assert sorted(got) == ["loose", "notes"]
         assert got["notes"].dtypes == [("id", "bigint"), ("body", "string"), ("n", "double")]
         assert sorted(tuple(r) for r in got["notes"].collect()) == EXPECTED
@@ -181,7 +184,7 @@ def test_dump_columns_and_summary(spark, dump_path):
 def test_cut_off_statements_are_reported(spark, dump_path):
     bad = dump.rejected(dump.read_statements(spark, dump_path)).collect()
     assert [r["table"] for r in bad] == ["notes"]
-    assert bad[0]["body"].startswith("(11,'cut off")
+    assert bad[0]["statement"].endswith("(11,'cut off")
 
 
 def test_several_files_and_name_filter(spark, tmp_path):
@@ -215,3 +218,44 @@ def test_insert_text_inside_a_value_is_not_a_statement(spark, tmp_path):
     got = dump.load_dump(spark, str(tmp_path))
     assert sorted(got) == ["t"]
     assert sorted(r.a for r in got["t"].collect()) == ["CREATE TABLE `v` (", "INSERT INTO `u` VALUES (1)"]
+
+
+# -- nothing is lost without a word ------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("INSERT INTO `t` VALUES (1,'a');\r\nINSERT INTO `t` VALUES (2,'b');\r\n", [("1", "a"), ("2", "b")]),
+        ("INSERT INTO t VALUES (1,'a'); \nINSERT INTO t VALUES (2,'b');  \n", [("1", "a"), ("2", "b")]),
+        ("/* two\n lines; */\n-- and; one\nINSERT INTO `t` VALUES (1,'a');\nINSERT INTO t VALUES (2,'b');", [("1", "a"), ("2", "b")]),
+        ("INSERT INTO `db`.`t` VALUES (1,'a');\nREPLACE INTO db.t VALUES (2,'b');\n", [("1", "a"), ("2", "b")]),
+        ("INSERT INTO `t` VALUES (1,POINT(3,4)),(2,'y')", [("1", "POINT(3,4)"), ("2", "y")]),
+        ("INSERT INTO `t` VALUES (1,_binary 'x;\r\ny'); \n", [("1", "x;\r\ny")]),
+        ("INSERT INTO `t` VALUES (1,'a') ON DUPLICATE KEY UPDATE b = VALUES(b);\n", [("1", "a")]),
+    ],
+)
+def test_forms_of_inserts(spark, tmp_path, text, want):
+    (tmp_path / "d.sql").write_bytes(text.encode())
+    got = dump.load_dump(spark, str(tmp_path))["t"]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_column_list_says_which_value_is_which(spark, tmp_path):
+    (tmp_path / "d.sql").write_text("CREATE TABLE `t` (\n  `a` int,\n  `b` text,\n  `c` text\n);\nINSERT INTO `t` (`b`,`a`) VALUES ('x',1);\n")
+    assert [r.asDict() for r in dump.load_dump(spark, str(tmp_path))["t"].collect()] == [{"a": "1", "b": "x", "c": None}]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "INSERT INTO `t` VALUES (1,'a;\nb'),(2,'c');\n",
+        "INSERT INTO `t` VALUES (1,'a'),(2,'b",
+        "INSERT INTO `t` SELECT * FROM u;\n",
+        "INSERT INTO `t` SET a = 1;\n",
+    ],
+)
+def test_what_is_not_understood_raises(spark, tmp_path, text):
+    (tmp_path / "d.sql").write_text(text)
+    with pytest.raises(dump.RejectedStatements):
+        dump.load_dump(spark, str(tmp_path))

@@ -58,6 +58,8 @@ def _unescape(part: Column) -> Column:
 def sql_literal(v: Column) -> Column:
     """Value of one SQL literal: NULL, quoted text with escapes, or bare text."""
     v = F.btrim(v, F.lit(" \t\r\n"))
+    # A character set may stand before a quoted text.
+    v = F.when(v.startswith("_"), F.regexp_replace(v, r"""\A_[A-Za-z0-9]+\s*(?=['"])""", "")).otherwise(v)
     quote = F.substring(v, 1, 1)
     quoted = quote.isin("'", '"')
     body = F.substring(v, F.lit(2), F.length(v) - 2)

@@ -14,15 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transhume.functions.text import text_of
+from transhume.session import stage
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
 _SALTS = "__lookup_salts"
-_TOTAL = "__lookup_total"
 
 # Rows of one key that a single task takes without being split.
 HOT_ROWS = 1_000_000
 
+# Frequent keys that are salted at most.
+MOST_HOT = 100_000
+
 
 def as_lookup_table(
     dim: DataFrame,
@@ -62,6 +65,7 @@ def lookup(
     required: Sequence[str] = (),
     salt_hot: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Bring values of a lookup table to every row; null where nothing matches.
 
@@ -69,7 +73,8 @@ def lookup(
     columns of these names that the table has already are replaced.
     ``text`` compares both keys as text. ``inner`` drops rows without a match, and
     ``required`` also those whose named values are null. ``salt_hot`` names what to
-    spread the rows of a key by that has more than ``hot_rows`` of them.
+    spread the rows of a key by that has more than ``hot_rows`` of them. They are counted in
+    ``hot_in``, a table with the key column that needs no earlier lookup, or else in ``df``.
     """
     table = as_lookup_table(dim, key, take, text, last_by, unique)
     for name in required:
@@ -77,18 +82,20 @@ def lookup(
     column = F.col(on) if isinstance(on, str) else on
     keyed = text_of(column) if text else column
     how = "inner" if inner else "left"
+    hot = hot_keys(hot_in, keyed, hot_rows) if salt_hot is not None and hot_in is not None else None
     replaced = [n for n in take if n in df.columns]
     if replaced:
         df, keyed = df.withColumn("__key", keyed).drop(*replaced), F.col("__key")
-        return _join(df, table, keyed, how, salt_hot, hot_rows).drop("__key")
-    return _join(df, table, keyed, how, salt_hot, hot_rows)
+        return _join(df, table, keyed, how, salt_hot, hot_rows, hot).drop("__key")
+    return _join(df, table, keyed, how, salt_hot, hot_rows, hot)
 
 
 def _join(
-    df: DataFrame, table: DataFrame, keyed: Column, how: str, salt_hot: Column | None, hot_rows: int
+    df: DataFrame, table: DataFrame, keyed: Column, how: str, salt_hot: Column | None, hot_rows: int,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     if salt_hot is not None:
-        return salted_join(df.withColumn("__on", keyed), table, "__on", salt_hot, how, hot_rows).drop("__on")
+        return salted_join(df.withColumn("__on", keyed), table, "__on", salt_hot, how, hot_rows, hot).drop("__on")
     joined = df.join(table, keyed == table[_KEY], how)
     return joined.drop(_KEY)
 
@@ -110,6 +117,7 @@ def lookup_two_hop(
     last_by: Sequence[str | Column] | None = None,
     salt_hot: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Key → intermediate value → values of the row that survived under that value.
 
@@ -124,8 +132,9 @@ def lookup_two_hop(
     resolved = left.join(right, left["__m"].eqNullSafe(right["__s"]), "inner")
     names = {n: n for n in take}
     return lookup(
-        df, resolved, on, "__h", names, last_by=last_by, unique=last_by is None, salt_hot=salt_hot, hot_rows=hot_rows
-    )
+        df, resolved, on, "__h", names, last_by=last_by, unique=last_by is None, salt_hot=salt_hot, hot_rows=hot_rows,
+        hot_in=hot_in,
+    )
 
 
 def composite_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], take: dict[str, str]) -> DataFrame:
@@ -200,16 +209,16 @@ def with_template(df: DataFrame, template: DataFrame, columns: Sequence[str], or
     return held.select(*df.columns, *[F.col("__t").getField(c).alias(c) for c in columns])
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = HOT_ROWS, min_share: float = 1e-5) -> DataFrame:
+def hot_keys(df: DataFrame, key: str | Column, rows_per_task: int = HOT_ROWS, most: int = MOST_HOT) -> DataFrame:
     """Keys with more rows than one task should take, and the tasks to spread each over.
 
-    A key also has to hold a minimum share of the table, so that there are at most
-    ``1 / min_share`` of them however large the table is.
+    The ``most`` most frequent of them, which bounds what is broadcast; the run-time split of
+    skewed partitions is left for keys beyond, at any size of the table.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)).alias(_TOTAL)).scalar()
-    hot = counts.filter((F.col("__n") > rows_per_task) & (F.col("__n") >= total * F.lit(min_share)))
-    return hot.select(_KEY, F.ceil(F.col("__n") / rows_per_task).cast("int").alias(_SALTS))
+    named = df.select((F.col(key) if isinstance(key, str) else key).alias(_KEY)).filter(F.col(_KEY).isNotNull())
+    counts = named.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
+    first = counts.orderBy(F.desc("__n"), _KEY).limit(most)
+    return first.select(_KEY, F.ceil(F.col("__n") / rows_per_task).cast("int").alias(_SALTS))
 
 
 def salted_join(
@@ -219,15 +228,18 @@ def salted_join(
     spread_by: Column,
     how: str = "left",
     rows_per_task: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a lookup table, spreading frequent and missing keys over several tasks.
 
     Rows of a hot key carry a salt taken from ``spread_by``, and the table's row for that
     key is repeated once per salt; the more rows a key has, the more salts. Rows without
     a key match nothing and are spread at will. All other keys are joined as they are.
-    Only the short list of hot keys is broadcast.
+    Only the short list of hot keys is broadcast. It is counted once, by a job of its own,
+    and stored, so that neither side of the join nor a later lookup repeats the plan of
+    ``df``. ``hot`` is a list that was counted before, on a narrower table.
     """
-    hot = hot_keys(df, on, rows_per_task).select(F.col(_KEY).alias("__hot"), _SALTS)
+    hot = stage(hot_keys(df, on, rows_per_task) if hot is None else hot, "hot_keys").select(F.col(_KEY).alias("__hot"), _SALTS)
     spread = F.xxhash64(spread_by)
     salt = (
         F.when(F.col(on).isNull(), F.pmod(spread, F.lit(2**31 - 1)))

@@ -123,7 +123,7 @@ def export_platform_accounts(
     without a purchase.
     """
     nothing = F.lit(None).cast("string")
-    salting = {"salt_hot": spread_by, "hot_rows": hot_rows}
+    salting = {"salt_hot": spread_by, "hot_rows": hot_rows, "hot_in": accounts}
     df = surviving_accounts(accounts, preferences, order_by, null_purchases)
     # The lookups by login follow each other: after the last dedup the rows already lie by login.
     df = with_known_group(df, stats, stats_last_by)

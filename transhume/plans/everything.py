@@ -49,10 +49,27 @@ class _Needed(Exception):
     """A table that an export needs is not there."""
 
 
+class _Failed(Exception):
+    """A table that an export reads could not be made."""
+
+
 class _Tables(dict):
+    """Tables by name; one that failed is not there for anyone, not even where it is optional."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.failed: set[str] = set()
+
     def __missing__(self, name: str) -> DataFrame:
+        if name in self.failed:
+            raise _Failed(f"needs {name}, which failed")
         raise _Needed(f"needs {name}")
 
+    def get(self, name: str, default: DataFrame | None = None) -> DataFrame | None:
+        if name in self.failed:
+            raise _Failed(f"needs {name}, which failed")
+        return super().get(name, default)
+
 
 def run_all(
     sources: dict[str, DataFrame],
@@ -72,6 +89,9 @@ def run_all(
 ) -> tuple[dict[str, DataFrame], list[Outcome]]:
     """Build and write every export; one that fails does not stop the others.
 
+    An export whose source is absent is left out, and those that can do without it are
+    made all the same. What reads an export that failed fails as well and writes nothing.
+
     ``write(table, name)`` stores a finished table. Returns the tables and the
     outcomes. ``only`` builds the named exports and the shared tables they read. Up to
     ``at_once`` exports of a phase run as concurrent Spark jobs, so that the last tasks
@@ -134,10 +154,14 @@ def run_all(
             if only is None or name in only:
                 write(table, name)
             return name, table, Outcome(name, True)
+        except _Needed as absent:  # its source is not there: what can do without it goes on
+            return name, None, Outcome(name, False, str(absent))
         except Exception as error:  # an export that fails must not stop the rest
+            failed.append(name)
             return name, None, Outcome(name, False, f"{type(error).__name__}: {error}")
 
-    outcomes = []
+    outcomes: list[Outcome] = []
+    failed: list[str] = []
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         for phase in PHASES:
             wanted = [n for n in phase if only is None or n in only or n in _SHARED]
@@ -145,4 +169,5 @@ def run_all(
                 outcomes.append(outcome)
                 if table is not None:
                     made[name] = table
+            made.failed.update(failed)
     return dict(made), outcomes

@@ -71,7 +71,7 @@ def export_purchases(
     The discount goes by way of its code, so the id of a removed duplicate leads to the
     code that stayed. ``spread_by`` salts buyers and discounts with many purchases.
     """
-    salting = {"salt_hot": spread_by, "hot_rows": hot_rows}
+    salting = {"salt_hot": spread_by, "hot_rows": hot_rows, "hot_in": purchases}
     nothing = F.lit(None).cast("string")
     df = conform.with_constants(purchases, {"uuid": uuid_from("purchases", "id")})
     df = lookup.lookup(df, keys, "user_id", "id", {"user_uuid": "uuid"}, unique=True, **salting)
@@ -109,7 +109,7 @@ def export_payout_requests(
 
     ``spread_by`` salts users and accounts with many payouts.
     """
-    options = {"text": True, "unique": True, "salt_hot": spread_by, "hot_rows": hot_rows}
+    options = {"text": True, "unique": True, "salt_hot": spread_by, "hot_rows": hot_rows, "hot_in": payouts}
     df = lookup.lookup(payouts, keys, "user_id", "id", {"user_uuid": "uuid"}, inner=True, **options)
     account = {"platform_account_uuid": "uuid"}
     df = lookup.lookup(df, accounts, "program_login", "platform_login_id", account, **options)

@@ -44,14 +44,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _digest_sql(entity: str, keys: tuple[str, ...]) -> str:
+    texts = [f"CAST({k} AS VARCHAR)" for k in keys]
+    return f"md5('{entity}'" + "".join(f" || '|' || coalesce(length({t}) || ':' || {t}, 'N')" for t in texts) + ")"
+
+
 def uuid_sql(entity: str, *keys: str) -> str:
     """SQL of the uuid that is derived from an entity name and a key."""
-    parts = " || ':' || ".join(f"coalesce(CAST({k} AS VARCHAR), '\\N')" for k in keys)
-    h = f"md5('{entity}:' || {parts})"
+    h = _digest_sql(entity, keys)
     bounds = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return " || '-' || ".join(f"substr({h}, {start}, {size})" for start, size in bounds)
 
 
-def code_sql(entity: str, *keys: str) -> str:
-    parts = " || ':' || ".join(f"coalesce(CAST({k} AS VARCHAR), '\\N')" for k in keys)
-    return f"upper(substr(md5('{entity}:' || {parts}), 1, 8))"
+def code_sql(entity: str, *keys: str, size: int = 8) -> str:
+    """SQL of the code: the last digits of 60 bits of the digest to the base 36."""
+    number = f"CAST('0x' || substr({_digest_sql(entity, keys)}, 1, 15) AS BIGINT)"
+    digits = [f"substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST({number} // {36**i} % 36 AS INTEGER) + 1, 1)" for i in reversed(range(size))]
+    return "(" + " || ".join(digits) + ")"

@@ -102,8 +102,8 @@ def write_dump(df: DataFrame, name: str, path: str, per_statement: Column | None
 
 def _dump_statements(spark, path: str) -> DataFrame:
     """Spark names its text files .txt, so they are read without the name filter."""
-    raw = spark.read.option("lineSep", ";\n").text(path)
-    return raw.select(F.col("value").alias("statement"), F.col("_metadata.file_path").alias("file"))
+    raw = spark.read.option("lineSep", dump.STATEMENT_END).text(path)
+    return dump.statements_of(raw.select("value", F.col("_metadata.file_path").alias("file")))
 
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -151,3 +151,34 @@ def dump_columns(spark, sf_dir):
     write_dump(table(spark, sf_dir, "supplier"), "supplier", path)
     found = dump.table_columns(_dump_statements(spark, path))
     return found.select("table", F.get("columns", F.lit(0)).alias("first_column"), F.size("columns").alias("n_columns"))
+
+
+def _as_sql_files(spark, path: str) -> None:
+    """Spark names its text files .txt; a dump's are named .sql."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, status in enumerate(fs.listStatus(folder)):
+        if status.getPath().getName().endswith(".txt"):
+            fs.rename(status.getPath(), hadoop.Path(folder, f"{status.getPath().getParent().getName()}_{i}.sql"))
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, 'POINT(' || s_suppkey || ',1)' AS place, s_acctbal FROM supplier")
+def dump_load_files(spark, sf_dir):
+    """Files of a dump by name: CRLF, blanks and comments around statements, calls, a column list in other order."""
+    rows = table(spark, sf_dir, "supplier")
+    path = stage_path(spark, "supplier_dump")
+    names = "`s_acctbal`, `s_suppkey`, `place`, `s_nationkey`, `s_name`"
+    place = F.concat(F.lit("POINT("), "s_suppkey", F.lit(",1)"))
+    values = F.concat_ws(", ", F.col("s_acctbal").cast("string"), "s_suppkey", place, "s_nationkey", _literal(F.col("s_name"), True))
+    insert = F.concat(
+        F.lit("-- one; row\r\n/* of\r\n several; */\r\nINSERT INTO `shop`.`supplier` ("), F.lit(names), F.lit(") VALUES\r\n("), values, F.lit(");  \r")
+    )
+    rows.select(insert.alias("value")).write.text(path)
+    lines = ",\n".join(f"  `{c}` text" for c in ("s_suppkey", "s_name", "s_nationkey", "place", "s_acctbal"))
+    create = f"/*!40101 SET NAMES utf8 */;\nCREATE TABLE `supplier` (\n{lines}\n) ENGINE=InnoDB;"
+    spark.range(1).select(F.lit(create).alias("value")).write.mode("append").text(path)
+    _as_sql_files(spark, path)
+    types = rows.schema
+    typed = ", ".join(f"{c} {types[c].dataType.simpleString() if c in types.names else 'string'}" for c in ("s_suppkey", "s_name", "s_nationkey", "place", "s_acctbal"))
+    return dump.load_dump(spark, path, {"supplier": typed}, name_contains="supplier")["supplier"]

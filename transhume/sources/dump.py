@@ -17,31 +17,71 @@ from transhume.session import stage_path
 
 # The text forms of a dump. Possessive quantifiers keep long literals
 # from using up the regex stack.
-_STATEMENT_END = ";\n"
+STATEMENT_END = ";\n"
 _SINGLE = r"'(?:[^'\\]++|\\.|'')*+'"
 _DOUBLE = r'"(?:[^"\\]++|\\.|"")*+"'
-_TUPLE = rf"(?s)\(((?:[^()'\"\\]++|{_SINGLE}|{_DOUBLE})*+)\)"
-_VALUE = rf"(?s)(?:^|,)((?:[^,'\"]++|{_SINGLE}|{_DOUBLE})*+)"
-_INSERT_HEAD = r"(?is)\A\s*INSERT\s+(?:IGNORE\s+)?INTO\s+`?([^`\s(]+)`?\s*(\([^)]*\))?\s*VALUES\s*"
-_CREATE_HEAD = r"(?i)\A\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?`?([^`\s(]+)`?\s*\("
+
+
+def _nested(depth: int) -> str:
+    """Text in parentheses, with literals and further parentheses inside."""
+    inner = rf"|{_nested(depth - 1)}" if depth else ""
+    return rf"\((?:[^()'\"\\]++|{_SINGLE}|{_DOUBLE}{inner})*+\)"
+
+
+_CALL = _nested(3)
+_TUPLE = rf"(?s)\(((?:[^()'\"\\]++|{_SINGLE}|{_DOUBLE}|{_CALL})*+)\)"
+_VALUE = rf"(?s)(?:^|,)((?:[^,()'\"]++|{_SINGLE}|{_DOUBLE}|{_CALL})*+)"
+_NAME = r"(?:(?:`[^`]++`|[^`\s.(]++)\s*\.\s*)?`?([^`\s(]+)`?"
+_INSERT_HEAD = (
+    r"(?is)\A(?:INSERT|REPLACE)\s+(?:(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY|IGNORE)\s+)*(?:INTO\s+)?"
+    + _NAME
+    + r"\s*(\([^)]*\))?\s*VALUES?\s*(?=\()"
+)
+_CREATE_HEAD = r"(?i)\ACREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?" + _NAME + r"\s*\("
 _COLUMN_LINE = r"(?m)^\s*`([^`]+)`"
+_COMMENT = r"--[^\n]*+|#[^\n]*+|/\*(?:[^*]++|\*(?!/))*+\*/;?"
+_COMMENTS = rf"\A(?:\s++|;|{_COMMENT})*+"
+# A statement ends at a semicolon, outside of literals, after which only blanks stand in its line.
+_STATEMENT = (
+    rf"(?s)\G((?:[^;'\"`\-#/]++|{_SINGLE}|{_DOUBLE}|`[^`]*+`|{_COMMENT}|;(?![ \t\r]*+(?:\n|\z))|[\-#/'\"`])++)(?:;[ \t\r]*+\n?|\z)"
+)
 # What remains of an INSERT once its tuples are taken out.
-_BETWEEN = r"^[\s,;]*$"
+_BETWEEN = r"(?is)^[\s,;]*(?:ON\s+DUPLICATE\s+KEY\s+UPDATE\b.*)?$"
+# How statements begin that hold no rows.
+_OTHERS = (
+    "ALTER ANALYZE BEGIN CALL CHANGE COMMIT CREATE DELETE DELIMITER DROP END FLUSH GRANT LOCK OPTIMIZE SELECT SET START "
+    "TRUNCATE UNLOCK UPDATE USE"
+).split()
+
+
+class RejectedStatements(ValueError):
+    """A dump holds statements that are not wholly understood."""
 
 
-def read_statements(spark: SparkSession, path: str, name_contains: str | None = None) -> DataFrame:
-    """One row per statement of one dump file, or of all ``*.sql`` files in a folder."""
-    reader = spark.read.option("lineSep", _STATEMENT_END)
+def read_statements(
+    spark: SparkSession, path: str, name_contains: str | None = None, statement_end: str = STATEMENT_END
+) -> DataFrame:
+    """One row per statement of one dump file, or of all ``*.sql`` files in a folder.
+
+    Files are split at ``statement_end``; a record of several statements, as after CRLF line
+    ends or blanks behind a semicolon, is then cut outside of literals. Give the actual
+    ending (``";\r\n"``) for large files with another one, or a file is read by one task.
+    """
+    reader = spark.read.option("lineSep", statement_end)
     if name_contains is not None:
         reader = reader.option("pathGlobFilter", f"*{name_contains}*.sql")
     elif not path.endswith(".sql"):
         reader = reader.option("pathGlobFilter", "*.sql")
-    return reader.text(path).select(F.col("value").alias("statement"), F.col("_metadata.file_path").alias("file"))
+    return statements_of(reader.text(path).select("value", F.col("_metadata.file_path").alias("file")))
 
 
-def _code_lines(statement: Column) -> Column:
-    """A statement without the comment lines that stand before or inside it."""
-    return F.regexp_replace(statement, r"(?m)\A(?:\s*(?:--[^\n]*|/\*.*?\*/;?|#[^\n]*)?\s*\n)+", "")
+def statements_of(records: DataFrame) -> DataFrame:
+    """Statements without the comments before them, from records of ``value`` and ``file``."""
+    several = F.col("value").rlike(r";[ \t\r]*+\n")
+    cut = F.when(several, F.regexp_extract_all("value", F.lit(_STATEMENT), F.lit(1))).otherwise(F.array("value"))
+    each = records.select(F.explode(cut).alias("statement"), "file")
+    code = F.regexp_replace(F.regexp_replace("statement", _COMMENTS, ""), r"[;\s]+\z", "")
+    return each.select(code.alias("statement"), "file").filter(F.col("statement") != "")
 
 
 def table_columns(statements: DataFrame) -> DataFrame:
@@ -50,8 +90,7 @@ def table_columns(statements: DataFrame) -> DataFrame:
     Key and constraint lines do not start with a quoted name and are left out. Of
     several definitions of one table, the one in the first file counts.
     """
-    code = statements.select("file", _code_lines(F.col("statement")).alias("statement"))
-    found = code.filter(F.col("statement").rlike(_CREATE_HEAD)).select(
+    found = statements.filter(F.col("statement").rlike(_CREATE_HEAD)).select(
         F.regexp_extract("statement", _CREATE_HEAD, 1).alias("table"),
         F.array_distinct(F.regexp_extract_all("statement", F.lit(_COLUMN_LINE), F.lit(1))).alias("columns"),
         "file",
@@ -60,27 +99,41 @@ def table_columns(statements: DataFrame) -> DataFrame:
 
 
 def inserts(statements: DataFrame) -> DataFrame:
-    """INSERT statements: table, file, text of the value list."""
-    code = statements.select("file", _code_lines(F.col("statement")).alias("statement"))
-    return code.filter(F.col("statement").rlike(_INSERT_HEAD)).select(
+    """INSERT and REPLACE statements: table, file, text of the value list, column list (null without one)."""
+    listed = F.regexp_extract_all(F.regexp_extract("statement", _INSERT_HEAD, 2), F.lit(r"[^`\s(),]+"), F.lit(0))
+    return statements.filter(F.col("statement").rlike(_INSERT_HEAD)).select(
         F.regexp_extract("statement", _INSERT_HEAD, 1).alias("table"),
         "file",
         F.regexp_replace("statement", _INSERT_HEAD, "").alias("body"),
+        F.when(F.size(listed) > 0, listed).alias("listed"),
     )
 
 
 def insert_rows(statements: DataFrame) -> DataFrame:
-    """One row per inserted tuple: table, file and its literals in order, as written."""
+    """One row per inserted tuple: table, file, its literals in order, as written, and the column list."""
+    # Tuples in a clause after the values are not rows.
+    values = F.regexp_replace("body", rf"(?is)\A((?:[^()'\"]++|{_CALL})*?)\s*ON\s+DUPLICATE\s+KEY\s+UPDATE\b.*\z", "$1")
     tuples = inserts(statements).select(
-        "table", "file", F.explode(F.regexp_extract_all("body", F.lit(_TUPLE), F.lit(1))).alias("tuple")
+        "table", "file", "listed", F.explode(F.regexp_extract_all(values, F.lit(_TUPLE), F.lit(1))).alias("tuple")
+    )
+    return tuples.select(
+        "table", "file", F.regexp_extract_all("tuple", F.lit(_VALUE), F.lit(1)).alias("literals"), "listed"
     )
-    return tuples.select("table", "file", F.regexp_extract_all("tuple", F.lit(_VALUE), F.lit(1)).alias("literals"))
 
 
 def rejected(statements: DataFrame) -> DataFrame:
-    """INSERT statements that are not wholly made of tuples, such as cut-off ones."""
-    rest = F.regexp_replace("body", _TUPLE, "")
-    return inserts(statements).filter(~rest.rlike(_BETWEEN))
+    """Statements that are not wholly understood: file, table (null if unknown) and statement.
+
+    These are inserts that are not wholly made of tuples, such as cut-off ones, other forms
+    of INSERT and REPLACE, and pieces that begin like no statement.
+    """
+    code = F.col("statement")
+    is_insert, is_row = code.rlike(r"(?i)\A(?:INSERT|REPLACE)\b"), code.rlike(_INSERT_HEAD)
+    rest = F.regexp_replace(F.regexp_replace(code, _INSERT_HEAD, ""), _TUPLE, "")
+    known = code.rlike(rf"(?i)\A(?:{'|'.join(_OTHERS)})\b")
+    bad = (is_row & ~rest.rlike(_BETWEEN)) | (is_insert & ~is_row) | (~is_insert & ~known)
+    name = F.when(is_row, F.regexp_extract(code, _INSERT_HEAD, 1))
+    return statements.filter(bad).select("file", name.alias("table"), "statement")
 
 
 def stage_rows(statements: DataFrame) -> DataFrame:
@@ -91,7 +144,7 @@ def stage_rows(statements: DataFrame) -> DataFrame:
     """
     path = stage_path(statements.sparkSession, "dump_rows")
     insert_rows(statements).write.partitionBy("table").parquet(path)
-    return statements.sparkSession.read.schema("file string, literals array<string>, table string").parquet(path)
+    return statements.sparkSession.read.schema("file string, literals array<string>, listed array<string>, table string").parquet(path)
 
 
 def dump_table(
@@ -103,7 +156,8 @@ def dump_table(
 ) -> DataFrame:
     """Rows of one table under its column names, typed where the schema says so.
 
-    Literals are decoded here, column by column. Short tuples are filled with nulls and
+    Literals are decoded here, column by column; a column list of the INSERT says which is
+    which, and a column that it leaves out is null. Short tuples are filled with nulls and
     surplus values dropped. ``lenient`` makes a value of the wrong type null instead of
     failing.
     """
@@ -112,7 +166,8 @@ def dump_table(
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
 
     def column(i: int, name: str) -> Column:
-        value, kind = sql_literal(F.get("literals", F.lit(i))), types.get(name, T.StringType())
+        at = F.when(F.col("listed").isNull(), F.lit(i)).otherwise(F.array_position("listed", name).cast("int") - 1)
+        value, kind = sql_literal(F.get("literals", at)), types.get(name, T.StringType())
         return (value.try_cast(kind) if lenient else value.cast(kind)).alias(name)
 
     return rows.filter(F.col("table") == table).select(*[column(i, c) for i, c in enumerate(columns)])
@@ -124,18 +179,25 @@ def load_dump(
     schemas: dict[str, T.StructType | str] | None = None,
     name_contains: str | None = None,
     lenient: bool = False,
+    statement_end: str = STATEMENT_END,
+    skip_rejected: bool = False,
 ) -> dict[str, DataFrame]:
     """Every table of a dump by name; tables without a definition get ``_c0``, ``_c1``, …
 
-    The dump is read twice: for its definitions and for its rows. One row per table
-    reaches the driver.
+    A statement that is not wholly understood raises ``RejectedStatements``, so that no row is
+    lost unseen; with ``skip_rejected`` it is left out, and ``rejected`` tells which. The dump
+    is read three times: for what is rejected, for its definitions and for its rows. One row
+    per table reaches the driver. Without a definition an INSERT's column list names the columns.
     """
-    statements = read_statements(spark, path, name_contains)
+    statements = read_statements(spark, path, name_contains, statement_end)
+    if not skip_rejected and (bad := rejected(statements).select("file", F.substring("statement", 1, 80)).limit(3).collect()):
+        raise RejectedStatements("; ".join(f"{file}: {begin!r}" for file, begin in bad))
     columns = {r["table"]: r["columns"] for r in table_columns(statements).collect()}
     rows = stage_rows(statements)
     undefined = rows.filter(~F.col("table").isin(list(columns)))
-    for r in undefined.groupBy("table").agg(F.max(F.size("literals")).alias("width")).collect():
-        columns[r["table"]] = [f"_c{i}" for i in range(r["width"])]
+    widest = F.max(F.struct(F.size("literals").alias("width"), "listed"))
+    for r in undefined.groupBy("table").agg(widest.alias("w")).collect():
+        columns[r["table"]] = r["w"]["listed"] or [f"_c{i}" for i in range(r["w"]["width"])]
     return {t: dump_table(rows, t, cols, (schemas or {}).get(t), lenient) for t, cols in columns.items()}
 
 
