@@ -20,21 +20,17 @@ from transhume.session import stage
 MIN_WORDS = 8
 
 
-def line_words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), SPACE), lambda w: w != "")
-
-
 def occurrences(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """Every line of at least ``min_words`` words.
 
     ``doc_id``, ``doc`` (digest of the whole text), ``at`` (number of the line), ``line``
-    (lower case, words apart by one space) and ``h`` (128-bit digest of ``line``).
+    (lower case, words apart by one space), ``w`` (its words) and ``h`` (128-bit digest of it).
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), digest_of(F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
     split = rows.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
-    worded = split.select("doc_id", "doc", "at", line_words(F.col("raw")).alias("w")).where(F.size("w") >= min_words)
-    joined = worded.select("doc_id", "doc", "at", F.concat_ws(" ", "w").alias("line"))
-    return joined.withColumn("h", F.unhex(F.md5("line")))
+    joined = split.select("doc_id", "doc", "at", F.trim(F.regexp_replace(F.lower("raw"), SPACE, " ")).alias("line"))
+    worded = joined.where("line <> ''").withColumn("w", F.split("line", " ")).where(F.size("w") >= min_words)
+    return worded.withColumn("h", F.unhex(F.md5("line")))
 
 
 def place() -> Column:
@@ -111,6 +107,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["rank"]).filter(pa.array([within_one_edit(x.split(" "), y.split(" ")) for x, y in pairs], pa.bool_()))
 
 
+def place_hash() -> Column:
+    return F.xxhash64("doc_id", "doc", "at").alias("place")
+
+
 def near_lines(distinct: DataFrame, found: DataFrame) -> DataFrame:
     """``h`` of every distinct line that has an earlier line one word edit away."""
     keyed = distinct.select("h", F.explode("keys").alias("key"))
@@ -118,18 +118,8 @@ def near_lines(distinct: DataFrame, found: DataFrame) -> DataFrame:
     active = keyed.join(met, "key", "left_semi").select("h").distinct()
     first = distinct.select("h", "first.*").drop("none")
     # One occurrence of each active line brings its text.
-    texts = (
-        first.join(active, "h", "left_semi")
-        .alias("f")
-        .join(
-            found.alias("o"),
-            (F.col("f.h") == F.col("o.h"))
-            & (F.col("f.doc") == F.col("o.doc"))
-            & (F.col("f.at") == F.col("o.at"))
-            & F.col("f.doc_id").eqNullSafe(F.col("o.doc_id")),
-        )
-        .select("f.h", "f.doc_id", "f.doc", "f.at", "o.line")
-    )
+    wanted = first.join(active, "h", "left_semi").withColumn("place", place_hash())
+    texts = wanted.join(found.select("h", place_hash(), "line"), ["h", "place"]).select("h", "doc_id", "doc", "at", "line")
     order = [F.col("doc_id").asc_nulls_last(), "doc", "at", "h"]
     ranked = numbered(
         texts.repartitionByRange(*order).sortWithinPartitions(*order).select("h", "line"), [], "rank", "lines"
@@ -155,14 +145,13 @@ def near_lines(distinct: DataFrame, found: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Numbers of the lines to remove: ``doc_id``, ``doc`` (digest of the text), ``cut`` (array of int)."""
-    found = occurrences(docs, id_col, text_col, min_words)
+    lines = occurrences(docs, id_col, text_col, min_words)
+    found = stage(lines.select("doc_id", "doc", "at", "h", half_keys(F.col("w")).alias("keys")), "occurrences")
     distinct = stage(
-        found.withColumn("keys", half_keys(F.split("line", " ")))
-        .groupBy("h")
-        .agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
+        found.groupBy("h").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
         "distinct_lines",
     )
-    near = near_lines(distinct, found).withColumn("near", F.lit(True))
+    near = near_lines(distinct, lines).withColumn("near", F.lit(True))
     marked = distinct.join(near, "h", "left").where("n > 1 OR near").select(
         "h", F.col("first.doc_id").alias("first_id"), F.col("first.doc").alias("first_doc"),
         F.col("first.at").alias("first_at"), F.coalesce("near", F.lit(False)).alias("near"),
@@ -170,7 +159,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     is_first = (
         F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("doc") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))
     )
-    gone = found.drop("line").join(marked, "h").where(F.col("near") | ~is_first)
+    gone = found.drop("keys").join(marked, "h").where(F.col("near") | ~is_first)
     return gone.groupBy("doc_id", "doc").agg(F.collect_set("at").alias("cut"))
 
 

@@ -28,7 +28,7 @@ UNIT = 8
 GAP = 0.0005
 
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 # --- cutting stock ----------------------------------------------------------------
@@ -274,8 +274,8 @@ def pack(
     made = [rows.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens"))]
     made += [T.StructField("class", T.IntegerType()), T.StructField("ids_crc32", T.LongType())]
     made += [T.StructField("ids", T.BinaryType())] if ids else []
-    pieces = rows.mapInArrow(partial(_pieces, tokenizer, end, capacity, unit, ids), T.StructType(made))
-    ranked = numbered(pieces, ["class"], "_rank", "pieces")
+    cut = partial(_pieces, tokenizer, end, capacity, unit, ids)
+    ranked = numbered(rows, ["class"], "_rank", "pieces", cut, T.StructType(made))
     room = capacity // unit
     demand = np.zeros(room + 1, np.int64)
     for r in ranked.groupBy("class").agg(F.count("*").alias("n")).collect():
