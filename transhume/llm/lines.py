@@ -13,24 +13,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transhume.llm.ranking import numbered
-from transhume.llm.text import SPACE, batch, digest_of
+from transhume.llm.text import batch, digest_of
 from transhume.session import stage
 
 #: Lines of fewer words are never removed: headings and list items repeat by nature.
 MIN_WORDS = 8
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """Every line of at least ``min_words`` words.
+def normal_words(line: Column) -> Column:
+    """Words of a line in lower case; none for a blank line."""
+    low = F.lower(line)
+    # Splitting at one character is much faster than at a class of them, and other blanks are rare.
+    blanked = F.when(low.rlike(r"[\x09-\x0D]"), F.regexp_replace(low, r"[\x09-\x0D]", " ")).otherwise(low)
+    return F.array_remove(F.split(blanked, " "), "")
 
-    ``doc_id``, ``doc`` (digest of the whole text), ``at`` (number of the line), ``line``
-    (lower case, words apart by one space), ``w`` (its words) and ``h`` (128-bit digest of it).
+
+def raw_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """``doc_id``, ``doc`` (digest of the whole text), ``at`` (number of the line) and ``raw``, the line.
+
+    Lines too short for so many words are left out.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), digest_of(F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
     split = rows.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
-    joined = split.select("doc_id", "doc", "at", F.trim(F.regexp_replace(F.lower("raw"), SPACE, " ")).alias("line"))
-    worded = joined.where("line <> ''").withColumn("w", F.split("line", " ")).where(F.size("w") >= min_words)
-    return worded.withColumn("h", F.unhex(F.md5("line")))
+    return split.where(F.octet_length("raw") >= 2 * min_words - 1)
+
+
+def occurrences(lines: DataFrame, min_words: int) -> DataFrame:
+    """Of every line of at least ``min_words`` words its place, ``h`` (128-bit digest of its words) and ``keys``."""
+    worded = lines.select("doc_id", "doc", "at", normal_words(F.col("raw")).alias("w")).where(F.size("w") >= min_words)
+    return worded.select("doc_id", "doc", "at", line_digest(F.col("w")).alias("h"), half_keys(F.col("w")).alias("keys"))
+
+
+def line_digest(w: Column) -> Column:
+    return F.unhex(F.md5(F.concat_ws(" ", w)))
 
 
 def place() -> Column:
@@ -111,7 +126,7 @@ def place_hash() -> Column:
     return F.xxhash64("doc_id", "doc", "at").alias("place")
 
 
-def near_lines(distinct: DataFrame, found: DataFrame) -> DataFrame:
+def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
     """``h`` of every distinct line that has an earlier line one word edit away."""
     keyed = distinct.select("h", F.explode("keys").alias("key"))
     met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -119,11 +134,13 @@ def near_lines(distinct: DataFrame, found: DataFrame) -> DataFrame:
     first = distinct.select("h", "first.*").drop("none")
     # One occurrence of each active line brings its text.
     wanted = first.join(active, "h", "left_semi").withColumn("place", place_hash())
-    texts = wanted.join(found.select("h", place_hash(), "line"), ["h", "place"]).select("h", "doc_id", "doc", "at", "line")
+    brought = wanted.join(lines.select("doc", place_hash(), "raw"), ["doc", "place"])
+    # Stored before they are sorted, as sorting by range reads its input twice.
+    texts = stage(brought.select("h", "doc_id", "doc", "at", F.concat_ws(" ", normal_words(F.col("raw"))).alias("line")), "active_lines")
+    # Places are equal by hash; a filter in the join above would be evaluated for every line.
+    texts = texts.where(F.unhex(F.md5("line")) == F.col("h"))
     order = [F.col("doc_id").asc_nulls_last(), "doc", "at", "h"]
-    ranked = numbered(
-        texts.repartitionByRange(*order).sortWithinPartitions(*order).select("h", "line"), [], "rank", "lines"
-    )
+    ranked = numbered(texts.repartitionByRange(*order).sortWithinPartitions(*order).select("h", "line"), [], "rank", "lines")
     ranked = stage(ranked, "ranked_lines")
     cut = ranked.select("line", "rank").mapInArrow(_variants, "k1 long, k2 long, cut int, rank long")
     whole = F.col("cut") < 0
@@ -136,17 +153,17 @@ def near_lines(distinct: DataFrame, found: DataFrame) -> DataFrame:
     longer = hits.where("cut >= 0 AND whole IS NOT NULL")
     inserted = longer.select(F.greatest("rank", "whole").alias("rank"), F.least("rank", "whole").alias("earlier"))
     pairs = replaced.unionByName(inserted).where("rank > earlier").distinct()
-    lines = ranked.select("rank", "line")
-    other = lines.select(F.col("rank").alias("earlier"), F.col("line").alias("other"))
-    checked = pairs.join(lines, "rank").join(other, "earlier").select("rank", "line", "other")
+    text = ranked.select("rank", "line")
+    other = text.select(F.col("rank").alias("earlier"), F.col("line").alias("other"))
+    checked = pairs.join(text, "rank").join(other, "earlier").select("rank", "line", "other")
     later = checked.mapInArrow(_verified, "rank long").distinct()
     return ranked.join(later, "rank", "left_semi").select("h").distinct()
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Numbers of the lines to remove: ``doc_id``, ``doc`` (digest of the text), ``cut`` (array of int)."""
-    lines = occurrences(docs, id_col, text_col, min_words)
-    found = stage(lines.select("doc_id", "doc", "at", "h", half_keys(F.col("w")).alias("keys")), "occurrences")
+    lines = raw_lines(docs, id_col, text_col, min_words)
+    found = stage(occurrences(lines, min_words), "occurrences")
     distinct = stage(
         found.groupBy("h").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
         "distinct_lines",
