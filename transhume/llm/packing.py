@@ -27,6 +27,9 @@ UNIT = 8
 #: Column generation ends within this share of the lower bound of the linear program.
 GAP = 0.0005
 
+#: Pieces of the scaled histogram whose filling gives the first patterns.
+POOL = 20_000
+
 #: Words whose ids a task remembers.
 REMEMBERED = 200_000
 
@@ -85,13 +88,16 @@ def best_pattern(prices: np.ndarray, room: int) -> np.ndarray:
     return pattern
 
 
-def solve(demand: np.ndarray, room: int, gap: float = GAP, most: int = 6000) -> tuple[np.ndarray, np.ndarray]:
+def solve(demand: np.ndarray, room: int, gap: float = GAP, most: int = 4000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (a row each) and how often each is used in the linear program.
 
     Column generation with a revised simplex method: the dual prices of the classes go to
     the knapsack, the pattern that is worth most enters the basis. Ends at the optimum, or
-    once the best price proves the value to be within ``gap`` of it.
+    once the best price proves the value to be within ``gap`` of it. Patterns of a filling
+    of the histogram, scaled to ``POOL`` pieces, are tried before the knapsack is asked.
     """
+    scaled = np.ceil(demand * min(1.0, POOL / demand.sum())).astype(np.int64)
+    pool = np.unique(np.array(fill(scaled, room)), axis=0).astype(float)
     classes = np.flatnonzero(demand)
     m = len(classes)
     basis = np.zeros((m, len(demand)), np.int64)
@@ -101,8 +107,12 @@ def solve(demand: np.ndarray, room: int, gap: float = GAP, most: int = 6000) ->
     for _ in range(most):
         prices = np.zeros(len(demand))
         prices[classes] = inverse.sum(axis=0)
-        pattern = best_pattern(np.maximum(prices, 0), room)
-        value = float(prices @ pattern)
+        worth = pool @ prices
+        pattern = pool[worth.argmax()].astype(np.int64)
+        value = float(worth.max())
+        if value <= 1 + gap:
+            pattern = best_pattern(np.maximum(prices, 0), room)
+            value = float(prices @ pattern)
         if value <= 1 + gap:
             break
         column = inverse @ pattern[classes]
