@@ -142,3 +142,10 @@ def test_salted_lookups_do_not_repeat_the_facts(spark, tmp_path):
         df = lookup.lookup(df, dim, key, "k", taken, unique=True, salt_hot=F.col("id"), hot_rows=100, hot_in=facts_table)
     assert len(re.findall(r"FileScan parquet \[[^\]]*a#[^\]]*b#", physical(df))) == 1
     assert df.where("a_value = a * 10 AND b_value = b * 10 AND c_value = c * 10").count() == 1000
+
+
+@pytest.mark.parametrize("name", ["keep_first", "duplicate_count", "lookup_two_hop"])
+def test_wide_keys_travel_as_digests(spark, shuffled_joins, name):
+    plan = physical(QUERIES[name](spark, SF_DIR))
+    moved = re.findall(r"(?:Exchange hashpartitioning|Sort \[|SortMergeJoin)[^\n]*", plan)
+    assert moved and not any(re.search(r"\b(body|text)#", line) for line in moved)

@@ -54,3 +54,8 @@ def code_from(entity: str, *keys: str | Column, size: int = 8) -> Column:
 def random_code(size: int = 8) -> Column:
     """Code of digits and upper-case letters per row."""
     return _code(F.md5(F.uuid()), size)
+
+
+def wide_key(column: str | Column) -> Column:
+    """128-bit digest that stands for a wide text in shuffles and sorts; null stays null."""
+    return F.unhex(F.md5(_col(column)))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transhume.functions.keys import wide_key
+
 
 def count_if(condition: Column) -> Column:
     """Number of rows that meet a condition; null does not."""
@@ -35,9 +37,9 @@ def distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows, distinct keys and surplus rows; null counts as a key."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def duplicate_counts(df: DataFrame, keys: Sequence[str], wide: Sequence[str] = ()) -> DataFrame:
+    """Rows, distinct keys and surplus rows; null counts as a key. Keys named in ``wide`` are counted by digest."""
+    per_key = df.groupBy(*[wide_key(k) if k in wide else F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"),
         F.count(F.lit(1)).alias("distinct_keys"),

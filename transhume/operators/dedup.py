@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transhume.functions.keys import wide_key
+
 COLLAPSE, KEEP, DROP = "collapse", "keep", "drop"
 _RANK = "__rank"
 
@@ -25,12 +27,14 @@ def keep_first(
     keys: Sequence[str],
     order_by: Sequence[str | Column],
     null_keys: str = COLLAPSE,
+    wide: Sequence[str] = (),
 ) -> DataFrame:
     """First row per key in the given order.
 
     The order should end in a unique column; rows that tie on all of it are chosen
     from freely. Null counts as one key (COLLAPSE), or rows with a null key part all
-    stay (KEEP) or all go (DROP).
+    stay (KEEP) or all go (DROP). Keys named in ``wide`` are long texts: their digests are
+    shuffled and sorted in their place.
     """
     if null_keys not in (COLLAPSE, KEEP, DROP):
         raise ValueError(f"unknown null_keys: {null_keys}")
@@ -38,7 +42,7 @@ def keep_first(
     for k in keys:
         whole = whole & F.col(k).isNotNull()
     rows = df if null_keys == COLLAPSE else df.filter(whole)
-    window = Window.partitionBy(*keys).orderBy(*_order(order_by))
+    window = Window.partitionBy(*[wide_key(k) if k in wide else F.col(k) for k in keys]).orderBy(*_order(order_by))
     kept = rows.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
     return kept.unionByName(df.filter(~whole)) if null_keys == KEEP else kept
 

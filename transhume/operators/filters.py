@@ -70,8 +70,10 @@ def slice_by_key(df: DataFrame, column: str, key: object) -> DataFrame:
     """Rows of one key, compared as text.
 
     Where the column is already text or a whole number the comparison is made in the
-    column's own type, so that it reaches the scan.
+    column's own type, so that it reaches the scan. A key may also be a scalar subquery.
     """
+    if isinstance(key, Column):
+        return df.filter(F.col(column) == key)
     kind = df.schema[column].dataType
     wanted = str(key)
     if isinstance(kind, T.StringType):

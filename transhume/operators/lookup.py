@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transhume.functions.keys import wide_key
 from transhume.functions.text import text_of
 from transhume.session import stage
 
@@ -118,17 +119,20 @@ def lookup_two_hop(
     salt_hot: Column | None = None,
     hot_rows: int = HOT_ROWS,
     hot_in: DataFrame | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """Key → intermediate value → values of the row that survived under that value.
 
     A null intermediate value meets the survivor whose value is null. The two small
     tables are joined first, so the large one is joined once. The null value is one
-    row on the survivors' side.
+    row on the survivors' side. ``wide``: the intermediate values are long texts and are
+    compared by digest.
     """
+    value = wide_key if wide else F.col
     right = survivors.select(
-        F.col(survivor_key).alias("__s"), *[F.col(v).alias(n) for n, v in take.items()], F.lit(True).alias("__hit")
+        value(survivor_key).alias("__s"), *[F.col(v).alias(n) for n, v in take.items()], F.lit(True).alias("__hit")
     )
-    left = hops.select(F.col(hop_key).alias("__h"), F.col(hop_value).alias("__m"), *[c for c in (last_by or [])])
+    left = hops.select(F.col(hop_key).alias("__h"), value(hop_value).alias("__m"), *[c for c in (last_by or [])])
     resolved = left.join(right, left["__m"].eqNullSafe(right["__s"]), "inner")
     names = {n: n for n in take}
     return lookup(

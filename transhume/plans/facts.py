@@ -164,6 +164,6 @@ def export_recent_deals(
     return _deals(recent, accounts, id_keys, spread_by, hot_rows, columns, _DEAL_TYPES)
 
 
-def slice_deals(deals: DataFrame, account_uuid: str) -> DataFrame:
+def slice_deals(deals: DataFrame, account_uuid: str | Column) -> DataFrame:
     """Exported deals of one account."""
     return filters.slice_by_key(deals, "platform_account_uuid", account_uuid)

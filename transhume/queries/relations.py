@@ -86,10 +86,10 @@ def lookup_self(spark, sf_dir):
 def lookup_two_hop(spark, sf_dir):
     body = F.when(F.col("doc_id") % 20 != 0, F.col("text"))
     hops = table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
-    kept = dedup.keep_first(hops, ["body"], ["doc_id"])
+    kept = dedup.keep_first(hops, ["body"], ["doc_id"], wide=["body"])
     labels = table(spark, sf_dir, "labels").select("doc_id")
     return lookup.lookup_two_hop(
-        labels, hops, kept, "doc_id", "doc_id", "body", "body", {"surviving_id": "doc_id"}
+        labels, hops, kept, "doc_id", "doc_id", "body", "body", {"surviving_id": "doc_id"}, wide=True
     )
 
 
@@ -251,7 +251,7 @@ def frequency(spark, sf_dir):
 )
 def duplicate_count(spark, sf_dir):
     body = F.when(F.col("doc_id") % 20 != 0, F.col("text"))
-    return audit.duplicate_counts(table(spark, sf_dir, "documents").select(body.alias("body")), ["body"])
+    return audit.duplicate_counts(table(spark, sf_dir, "documents").select(body.alias("body")), ["body"], wide=["body"])
 
 
 @query(
@@ -353,7 +353,7 @@ def distribution(spark, sf_dir):
 def keep_first(spark, sf_dir):
     body = F.when(F.col("doc_id") % 20 != 0, F.col("text"))
     docs = table(spark, sf_dir, "documents").withColumn("body", body)
-    return dedup.keep_first(docs, ["body"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
+    return dedup.keep_first(docs, ["body"], ["doc_id"], wide=["body"]).select("doc_id", "lang", "source", "n_chars")
 
 
 _NULL_KEYED = "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS k FROM orders"
