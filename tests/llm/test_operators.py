@@ -1,6 +1,7 @@
 """The operators on small tables: nulls, empty and long texts, ties, repeats, clashing names, empty tables."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -89,6 +90,22 @@ def test_near_copies_leave_one_row_even_in_shards_of_many_blocks(spark, monkeypa
     assert sorted(kept.doc_id) == [0, 60, 61]
 
 
+def test_normal_lines_and_their_keys(spark):
+    """Any white space counts as one space, and lines a word apart share a key."""
+    texts = ["", "   ", "A", " a\tB  c\r", "x\x0b\x0cY\u00a0z \u3000 É", "one two", "no  Blank\tleft ", "\tHeld\x0b"]
+    line = lines.normal_line(F.col("text"))
+    rows = docs(spark, list(enumerate(texts))).select("text", line.alias("line"), lines.word_count(line).alias("n")).collect()
+    for r in rows:
+        split = [w for w in re.split(r"[\x20\x09-\x0D]+", r.text.lower()) if w]
+        assert (r.line, r.n) == (" ".join(split), len(split))
+    for n in (1, 2, 3, 8, 9):
+        base = [f"w{i}" for i in range(n)]
+        near = [base[:i] + ["x"] + base[i + 1 :] for i in range(n)] + [base[:i] + ["x"] + base[i:] for i in range(n + 1)]
+        keyed = docs(spark, list(enumerate(map(" ".join, [base, *near, ["x"] * (n + 3)]))))
+        keys = [set(r[0]) for r in keyed.orderBy("doc_id").select(lines.half_keys(F.col("text"), lines.word_count(F.col("text")))).collect()]
+        assert all(keys[0] & k for k in keys[1:-1]) and not keys[0] & keys[-1]
+
+
 def test_lines_one_word_apart_go_and_the_earliest_stays(spark):
     line = "one two three four five six seven eight nine ten"
     rows = [

@@ -20,12 +20,19 @@ from transhume.session import stage
 MIN_WORDS = 8
 
 
-def normal_words(line: Column) -> Column:
-    """Words of a line in lower case; none for a blank line."""
+def normal_line(line: Column) -> Column:
+    """Words of a line in lower case, one space apart; empty for a blank line."""
     low = F.lower(line)
-    # Splitting at one character is much faster than at a class of them, and other blanks are rare.
-    blanked = F.when(low.rlike(r"[\x09-\x0D]"), F.regexp_replace(low, r"[\x09-\x0D]", " ")).otherwise(low)
-    return F.array_remove(F.split(blanked, " "), "")
+    # Searching for bytes is much faster than a pattern, and few lines hold anything but single spaces.
+    odd = F.startswith(low, F.lit(" ")) | F.endswith(low, F.lit(" "))
+    for blank in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd |= F.contains(low, F.lit(blank))
+    return F.when(odd, F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))).otherwise(low)
+
+
+def word_count(line: Column) -> Column:
+    """Number of words of a normal line."""
+    return F.when(line == "", 0).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
 
 
 def raw_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -40,12 +47,17 @@ def raw_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Da
 
 def occurrences(lines: DataFrame, min_words: int) -> DataFrame:
     """Of every line of at least ``min_words`` words its place, ``h`` (128-bit digest of its words) and ``keys``."""
-    worded = lines.select("doc_id", "doc", "at", normal_words(F.col("raw")).alias("w")).where(F.size("w") >= min_words)
-    return worded.select("doc_id", "doc", "at", line_digest(F.col("w")).alias("h"), half_keys(F.col("w")).alias("keys"))
+    lined = lines.select("doc_id", "doc", "at", normal_line(F.col("raw")).alias("line"))
+    counted = lined.select("doc_id", "doc", "at", "line", word_count(F.col("line")).alias("words"))
+    keyed = counted.select(
+        "doc_id", "doc", "at", "words", line_digest(F.col("line")).alias("h"), half_keys(F.col("line"), F.col("words")).alias("keys")
+    )
+    # Stored before short lines are left out: a filter would make each line normal once more.
+    return stage(keyed, "occurrences").where(F.col("words") >= min_words).drop("words")
 
 
-def line_digest(w: Column) -> Column:
-    return F.unhex(F.md5(F.concat_ws(" ", w)))
+def line_digest(line: Column) -> Column:
+    return F.unhex(F.md5(line))
 
 
 def place() -> Column:
@@ -53,18 +65,18 @@ def place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "at")
 
 
-def half_keys(w: Column) -> Column:
-    """Keys of which two lines share one if they are a word edit apart.
+def half_keys(line: Column, n: Column) -> Column:
+    """Keys of which two lines (normal, of ``n`` words) share one if they are a word edit apart.
 
     An edit lies in the first or in the second half, so the other half is equal. Halves are
     those of the shorter line of a pair; a line is keyed as the shorter and as the longer.
     """
-    n = F.size(w)
     keys = []
     for short in (n, n - 1):
         half = F.floor(short / 2).cast("int")
-        keys.append(F.xxhash64(F.lit(0), short, F.slice(w, 1, half)))
-        keys.append(F.xxhash64(F.lit(1), short, F.slice(w, n - (short - half) + 1, short - half)))
+        for side, words in ((0, half), (1, half - short)):
+            part = F.call_function("substring_index", line, F.lit(" "), words)
+            keys.append(F.xxhash64(F.lit(side), short, part))
     return F.array(*keys)
 
 
@@ -136,9 +148,9 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
     wanted = first.join(active, "h", "left_semi").withColumn("place", place_hash())
     brought = wanted.join(lines.select("doc", place_hash(), "raw"), ["doc", "place"])
     # Stored before they are sorted, as sorting by range reads its input twice.
-    texts = stage(brought.select("h", "doc_id", "doc", "at", F.concat_ws(" ", normal_words(F.col("raw"))).alias("line")), "active_lines")
+    texts = stage(brought.select("h", "doc_id", "doc", "at", normal_line(F.col("raw")).alias("line")), "active_lines")
     # Places are equal by hash; a filter in the join above would be evaluated for every line.
-    texts = texts.where(F.unhex(F.md5("line")) == F.col("h"))
+    texts = texts.where(line_digest(F.col("line")) == F.col("h"))
     order = [F.col("doc_id").asc_nulls_last(), "doc", "at", "h"]
     ranked = numbered(texts.repartitionByRange(*order).sortWithinPartitions(*order).select("h", "line"), [], "rank", "lines")
     ranked = stage(ranked, "ranked_lines")
@@ -163,7 +175,7 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Numbers of the lines to remove: ``doc_id``, ``doc`` (digest of the text), ``cut`` (array of int)."""
     lines = raw_lines(docs, id_col, text_col, min_words)
-    found = stage(occurrences(lines, min_words), "occurrences")
+    found = occurrences(lines, min_words)
     distinct = stage(
         found.groupBy("h").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
         "distinct_lines",
