@@ -185,6 +185,9 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
         "h", F.col("first.doc_id").alias("first_id"), F.col("first.doc").alias("first_doc"),
         F.col("first.at").alias("first_at"), F.coalesce("near", F.lit(False)).alias("near"),
     )
+    # Stored, so that both sides of the join below are read by themselves and a line that very
+    # many documents share can be split at run time.
+    marked = stage(marked, "repeated_lines")
     is_first = (
         F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("doc") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))
     )
