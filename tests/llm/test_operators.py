@@ -118,6 +118,15 @@ def test_lines_one_word_apart_go_and_the_earliest_stays(spark):
     assert not {2, 5} & set(got)
 
 
+def test_lines_of_repeated_rows_are_not_near_to_themselves(spark):
+    """The first place of a line stays, though its row is there twice and another line shares a half with it."""
+    line = "one two three four five six seven eight nine ten"
+    other = "one two three four five zes zeven acht negen tien"
+    rows = [(1, line), (1, line), (2, other), (None, "a " + other[::-1]), (None, "a " + other[::-1]), (3, "b c " + other[::-1]), (4, line)]
+    got = sorted(((r.doc_id or 0, r.text, r.lines_cut) for r in lines.dedup_lines(docs(spark, rows)).collect()))
+    assert got == sorted((i or 0, t, 0) for i, t in rows[:-1])
+
+
 def test_one_edit_of_words():
     a = "a b c d".split()
     for b, want in (("a b c d", True), ("a x c d", True), ("a b d", True), ("a b c x d", True), ("b a c d", False), ("a b c d e f", False)):

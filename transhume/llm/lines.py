@@ -143,14 +143,16 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
     keyed = distinct.select("h", F.explode("keys").alias("key"))
     met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     active = keyed.join(met, "key", "left_semi").select("h").distinct()
-    first = distinct.select("h", "first.*").drop("none")
+    first = distinct.select("h", "n", "first.*").drop("none")
     # One occurrence of each active line brings its text.
     wanted = first.join(active, "h", "left_semi").withColumn("place", place_hash())
     brought = wanted.join(lines.select("doc", place_hash(), "raw"), ["doc", "place"])
     # Stored before they are sorted, as sorting by range reads its input twice.
-    texts = stage(brought.select("h", "doc_id", "doc", "at", normal_line(F.col("raw")).alias("line")), "active_lines")
+    texts = stage(brought.select("h", "n", "doc_id", "doc", "at", normal_line(F.col("raw")).alias("line")), "active_lines")
     # Places are equal by hash; a filter in the join above would be evaluated for every line.
     texts = texts.where(line_digest(F.col("line")) == F.col("h"))
+    # A row that is repeated brings its lines again; a line must not be near to itself.
+    texts = texts.where("n = 1").unionByName(texts.where("n > 1").dropDuplicates(["h"]))
     order = [F.col("doc_id").asc_nulls_last(), "doc", "at", "h"]
     ranked = numbered(texts.repartitionByRange(*order).sortWithinPartitions(*order).select("h", "line"), [], "rank", "lines")
     ranked = stage(ranked, "ranked_lines")
