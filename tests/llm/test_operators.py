@@ -90,6 +90,25 @@ def test_near_copies_leave_one_row_even_in_shards_of_many_blocks(spark, monkeypa
     assert sorted(kept.doc_id) == [0, 60, 61]
 
 
+def test_near_copies_far_apart_in_bits_are_found(spark):
+    """A phrase repeated at length adds few shingles, and pairs at 0.8 may differ in more than 16 bits."""
+    base = some_text(3, 400)
+    rows = [(0, base), (1, f"{base} {' '.join([base[:60]] * 300)}")]
+    assert sorted(simhash.drop_near_duplicates(docs(spark, rows)).toPandas().doc_id) == [0]
+
+    def prints(text):
+        hashes = np.unique(simhash.shingle_hashes(simhash.words(text), 5))
+        return set(hashes.tolist()), int(simhash.fingerprint(hashes))
+
+    for seed in range(2000):
+        shared, ends = some_text(seed, 104), [some_text(seed + k, 12) for k in (10_000, 20_000)]
+        pair = [f"{shared} {e}" for e in ends]
+        (a, x), (b, y) = map(prints, pair)
+        if len(a & b) >= 0.8 * len(a | b) and 16 < (x ^ y).bit_count() <= 22:
+            break
+    assert sorted(simhash.drop_near_duplicates(docs(spark, list(enumerate(pair)))).toPandas().doc_id) == [0]
+
+
 def test_normal_lines_and_their_keys(spark):
     """Any white space counts as one space, and lines a word apart share a key."""
     texts = ["", "   ", "A", " a\tB  c\r", "x\x0b\x0cY\u00a0z \u3000 É", "one two", "no  Blank\tleft ", "\tHeld\x0b"]

@@ -248,7 +248,8 @@ def _sketches(size: int, bands: int, batches: Iterator[pa.RecordBatch]) -> Itera
     for b in batches:
         fps, keys = np.zeros(b.num_rows, np.uint64), np.zeros((b.num_rows, bands), np.int64)
         for i, t in enumerate(b.column("text")):
-            hashes = shingle_hashes(words(t.as_py()), size)
+            # Distinct, as the similarity counts them: a phrase repeated at length must not turn the bits.
+            hashes = np.unique(shingle_hashes(words(t.as_py()), size))
             fps[i], keys[i] = fingerprint(hashes), sketch_keys(hashes, bands)
         lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), keys.ravel())
         yield pa.RecordBatch.from_arrays(
@@ -277,14 +278,13 @@ def _shingle_sets(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
 
-def _verify_cells(radius: int, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of pairs within the radius whose sets have at least that Jaccard similarity.
+def _verify_cells(least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of pairs whose sets have at least that Jaccard similarity.
 
     All similarities of a row come from the lists of the rows that hold each of its shingles.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     for cell in cells(batches):
-        fps = _numbers(cell, "fp").view(np.uint64)
         left, right = (np.zeros(cell.num_rows, bool) for _ in range(2))
         for side, at in zip((left, right), _sides(cell), strict=True):
             side[at] = True
@@ -301,7 +301,7 @@ def _verify_cells(radius: int, least: float, batches: Iterator[pa.RecordBatch])
             place = np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan) + np.repeat(first[own], fan)
             shared = np.bincount(holders[place], minlength=len(sets))
             union = sizes + sizes[x] - shared
-            alike = (shared >= least * union) & left & (np.bitwise_count(fps ^ fps[x]) <= radius)
+            alike = (shared >= least * union) & left
             alike[x] = False
             hits = np.flatnonzero(alike)
             groups.link(np.full(len(hits), x), hits)
@@ -315,17 +315,17 @@ def near_classes(
     text_col: str = "text",
     shingle_words: int = 5,
     similarity: float = 0.8,
-    radius: int = 16,
+    radius: int = 22,
     bands: int = 10,
 ) -> DataFrame:
     """Class of every distinct text, chained by pairs of at least that Jaccard similarity of shingles.
 
     Returns ``node`` (128-bit digest of the text), ``doc_id`` (smallest id with that text) and
     ``component`` (smallest node of the class). Texts without words are one class. A pair is
-    looked for where its fingerprints differ in at most ``radius`` bits and one of ``bands``
-    sketch keys is equal; at similarity 0.8 the keys miss 1 pair in 27,000, and sixteen bits
-    are more than two standard deviations above the mean of ten. What is found is verified
-    on whole shingle sets. Texts travel once, and only those with a candidate.
+    looked for where its fingerprints (of distinct shingles) differ in at most ``radius`` bits
+    and one of ``bands`` sketch keys is equal; at similarity 0.8 the keys miss 1 pair in 27,000,
+    and more than 22 bits differ in 1 of 29,000 (bits differ with probability 0.151 each; 16
+    bits would miss 1 in 78). What is found is verified on whole shingle sets. Texts travel once, and only those with a candidate.
     """
     rows = docs.select(
         digest_of(F.col(text_col)).alias("node"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
@@ -345,7 +345,7 @@ def near_classes(
     texts = rows.join(chosen, rows["node"].eqNullSafe(chosen["node"]) & rows["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
     sets = texts.select("node", "text").mapInArrow(partial(_shingle_sets, shingle_words), "node binary, shingles binary")
     checked = by_cell(active.join(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "node"))
-    linked = components(checked.mapInArrow(partial(_verify_cells, radius, similarity), "a binary, b binary"))
+    linked = components(checked.mapInArrow(partial(_verify_cells, similarity), "a binary, b binary"))
     return (
         nodes.select("node", "doc_id")
         .join(linked, "node", "left")
