@@ -182,6 +182,21 @@ def test_article_without_what_stands_around_it(spark):
     assert got[3] == "" and got[4] == "plain <text" and got[5].startswith("broken")
 
 
+def main_texts(spark, *htmls):
+    rows = [(i, f"http://h{i}.b/", h) for i, h in enumerate(htmls)]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got)]
+
+
+def test_marked_wrappers_keep_the_article(spark):
+    text = "<p>One, a paragraph of text.</p><p>Two, one more.</p>"
+    wraps = ["class='content has-sidebar'", "class='layout-sidebar-right'", "class='page with-nav'", "class='post tag-legal'", "class='related-work'"]
+    htmls = [f"<body><div {w}>{text}<div class='ad-box'>buy</div></div></body>" for w in wraps]
+    htmls += [f"<form><div class='widget'><article>{text}</article></div><div class='comments'><article class='comment'>No, a long one.</article></div></form>"]
+    htmls += [f"<div class='banner'>{'Buy, now. ' * 30}</div><article>{text}</article>"]
+    assert main_texts(spark, *htmls) == ["One, a paragraph of text.\n\nTwo, one more."] * 7
+
+
 def test_patterns_fill_sequences_and_use_every_piece():
     rng = np.random.default_rng(2)
     demand = np.bincount(rng.integers(1, 513, 5000), minlength=513)

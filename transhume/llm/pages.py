@@ -36,6 +36,19 @@ MARKED = frozenset(
     "newsletter subscribe subscription signup login popup modal overlay widget pagination pager toolbar tags "
     "copyright legal disclaimer skip".split()
 )
+#: Words that may stand beside a marked one in the same class or id.
+PARTS = frozenset(
+    "area articles bar block body bottom box button buttons container content entry feed footer form global group "
+    "icons inner item items left level link links list main outer page post posts primary right secondary section site "
+    "text thread title top wrap wrapper".split()
+)
+#: Marks of what may well be longer than the article.
+FOREIGN = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments "
+    "reply replies respond disqus popup modal overlay".split()
+)
+#: Skipped elements that may still hold the article, as marked ones may.
+LIFTED = frozenset("nav header footer aside form fieldset dialog menu".split())
 #: Roles that do the same.
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
@@ -50,28 +63,56 @@ def general(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
+def _marks(attributes: dict[str, str]) -> set[str]:
+    """Marked words of the classes and ids that consist of such words and their parts."""
+    found: set[str] = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        own = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()))
+        if own <= MARKED | PARTS:
+            found |= own & MARKED
+    return found
+
+
 def _skips(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in SKIPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes:
-        return True
-    if attributes.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(attributes.get("style", "")):
+    """Whether an element is skipped whatever it holds."""
+    if tag in SKIPPED - LIFTED or "hidden" in attributes:
         return True
-    if tag in ("html", "body", "main", "article"):
-        return False
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(w in MARKED for w in re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named).lower()))
+    return attributes.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(attributes.get("style", "")))
+
+
+class _Mark:
+    """An element that is skipped unless it holds the article."""
+
+    def __init__(self, tag: str, words: set[str], inside: bool):
+        self.foreign = bool(words & FOREIGN)
+        #: Headings of a site stand in such elements, too; those of an article within it.
+        self.titled = inside or tag not in LIFTED - {"form", "fieldset"}
+        self.holds = False
+        self.plain = 0
+
+
+def _mark(tag: str, attributes: dict[str, str], inside: bool) -> _Mark | None:
+    found = set() if tag in ("html", "body", "main", "article") else _marks(attributes)
+    if found or tag in LIFTED or attributes.get("role", "").lower() in ROLES:
+        return _Mark(tag, found, inside)
+    return None
 
 
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     """Blocks of text of a page in order: path of their containers, text, characters in links.
 
     Markup is read leniently: a block ends where any block starts or ends, an end tag closes
-    what is open inside its element, an end tag without a start counts for nothing.
+    what is open inside its element, an end tag without a start counts for nothing. A marked
+    element is skipped unless it holds an ``article``, ``main`` or ``h1``, or, on a page without
+    those elsewhere, most of the text outside links (all of it if its marks are of foreign text).
     """
     if not page:
         return []
     out: list[tuple[tuple[str, ...], str, int]] = []
-    # Open elements: tag, step of the path (empty for what is no container), skipped
-    stack: list[tuple[str, str, bool]] = []
+    within: list[list[_Mark]] = []
+    # Open elements: tag, step of the path (empty for what is no container), skipped, mark
+    stack: list[tuple[str, str, bool, _Mark | None]] = []
+    anchored = False
     held: list[str] = []
     linked = links = skipped = at = 0
 
@@ -80,7 +121,8 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((tuple(s for _, s, _ in stack if s), text, min(linked, len(text))))
+                out.append((tuple(s for _, s, _, _ in stack if s), text, min(linked, len(text))))
+                within.append([m for *_, m in stack if m])
             held.clear()
         linked = 0
 
@@ -110,7 +152,7 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
             if depth is not None:
                 if block:
                     flush()
-                skipped -= sum(s for _, _, s in stack[depth:])
+                skipped -= sum(s for _, _, s, _ in stack[depth:])
                 del stack[depth:]
             elif block:
                 flush()
@@ -121,7 +163,10 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
             links = 0
         if tag in VOID:
             continue
-        skips = _skips(tag, attributes)
+        inside = any(t in ("article", "main") for t, *_ in stack)
+        mark = _mark(tag, attributes, inside)
+        # A marked element within a line is skipped as it is.
+        skips = _skips(tag, attributes) or (mark is not None and not block)
         if tag in RAW:  # their content is no markup
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, position)
             at = position = end.end() if end else len(page)
@@ -133,13 +178,26 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
         if tag in TEXT_BLOCKS and tag in _CLOSES:  # a paragraph closes an open one
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _CLOSES[tag] or stack[i][1]), None)
             if depth is not None and stack[depth][0] in _CLOSES[tag]:
-                skipped -= sum(s for _, _, s in stack[depth:])
+                skipped -= sum(s for _, _, s, _ in stack[depth:])
                 del stack[depth:]
         step = "" if tag in TEXT_BLOCKS or tag in INLINE else general(tag, attributes)
-        stack.append((tag, step, skips))
+        if tag in ("article", "main", "h1") and not (skips or skipped) and not _marks(attributes):
+            around = [m for *_, m in stack if m]
+            anchored = anchored or not (around or mark)
+            for m in around:
+                m.holds |= tag != "h1" or m.titled
+        stack.append((tag, step, skips, None if skips else mark))
         skipped += skips
     flush()
-    return out
+    total = 0
+    for (_, text, links), marks in zip(out, within, strict=True):
+        total += len(text) - links
+        for m in marks:
+            m.plain += len(text) - links
+    for m in {m for marks in within for m in marks}:
+        if not m.holds and not anchored:
+            m.holds = m.plain > 0 and (m.plain == total if m.foreign else 2 * m.plain > total)
+    return [b for b, marks in zip(out, within, strict=True) if all(m.holds for m in marks)]
 
 
 _CLOSES = {t: {"p"} for t in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote")} | {
