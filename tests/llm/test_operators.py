@@ -197,6 +197,24 @@ def test_marked_wrappers_keep_the_article(spark):
     assert main_texts(spark, *htmls) == ["One, a paragraph of text.\n\nTwo, one more."] * 7
 
 
+def test_articles_of_several_containers_are_whole(spark):
+    long = "".join(f"<p>Paragraph {i}, of the body. It is long.</p>" for i in range(9))
+    parts = [f"<h1>Head</h1><p>Lead.</p><div class='body'>{long}</div>", f"<div class='intro'><h1>Head</h1><p>Lead.</p></div><div class='body'>{long}</div><div class='end'><p>End.</p></div>"]
+    rows = "".join(f"<tr><td>Cell {i}, with text. More.</td></tr>" for i in range(20))
+    parts += [f"<h1>Head</h1><p>Lead.</p><table><tbody>{rows}</tbody></table><p>End.</p>", f"<p>Lead.</p><ul>{rows.replace('td>', 'li>').replace('<tr>', '').replace('</tr>', '')}</ul>"]
+    for outer in ("<article>{}</article>", "<div class='post'>{}</div><div class='x'><a href='/'>all posts</a></div>", "<body>{}</body>"):
+        for got, part in zip(main_texts(spark, *map(outer.format, parts)), parts, strict=True):
+            assert got.split("\n\n") == [t for t in re.split(r"(?:<[^>]*>)+", part) if t]
+
+
+def test_a_page_of_another_template_is_not_read_by_the_host(spark):
+    text = "".join(f"<p>Paragraph {i}, of the page. It is long.</p>" for i in range(9))
+    common, other = f"<body><div class='a'>{text}</div></body>", f"<body><div class='a'><p>A short line.</p></div><div class='b'>{text}</div></body>"
+    rows = [(i, "http://a.b/", common) for i in range(5)] + [(9, "http://a.b/", other)]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all("Paragraph 8" in r.text for r in got)
+
+
 def test_patterns_fill_sequences_and_use_every_piece():
     rng = np.random.default_rng(2)
     demand = np.bincount(rng.integers(1, 513, 5000), minlength=513)

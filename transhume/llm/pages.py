@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,8 @@ INLINE = frozenset(
 )
 #: Blocks of text: they end a block but are no containers.
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption td th tr summary address".split())
+#: Containers that are parts of an article.
+PIECES = frozenset("ul ol dl table thead tbody tfoot colgroup section figure details".split())
 #: Elements without text of the article.
 SKIPPED = frozenset(
     "head title script style noscript template nav header footer aside form button select option textarea input "
@@ -221,20 +223,70 @@ def best_path(scores: dict[str, float]) -> str | None:
     return min(scores, key=lambda p: (-scores[p], p)) if scores else None
 
 
-def text_under(found: list[tuple[tuple[str, ...], str, int]], path: str) -> str:
+def under(found: list[tuple[tuple[str, ...], str, int]], path: str) -> list[int]:
+    """Places of the blocks below a path."""
     steps = tuple(path.split("/"))
-    return "\n\n".join(text for own, text, _ in found if own[: len(steps)] == steps)
+    return [i for i, (own, _, _) in enumerate(found) if own[: len(steps)] == steps]
+
+
+def plain(found: list[tuple[tuple[str, ...], str, int]], places: Iterable[int]) -> int:
+    """Characters of these blocks outside links."""
+    return sum(len(found[i][1]) - found[i][2] for i in places)
+
+
+def whole_path(found: list[tuple[tuple[str, ...], str, int]], path: str) -> str:
+    """The path of the article around a container.
+
+    The nearest ``article`` or ``main``, or else the nearest container, the body included, that
+    holds more blocks of text outside links and is no part of a table, list or figure.
+    """
+    steps = path.split("/")
+    for depth in range(len(steps), 0, -1):
+        if _tag(steps[depth - 1]) in ("article", "main"):
+            return "/".join(steps[:depth])
+    own = set(under(found, path))
+    for depth in range(len(steps) - 1, 0, -1):
+        outer = "/".join(steps[:depth])
+        more = [i for i in under(found, outer) if i not in own and len(found[i][1]) > 2 * found[i][2]]
+        if more and _tag(steps[depth - 1]) not in PIECES:
+            return outer
+    return path
+
+
+def _tag(step: str) -> str:
+    return step.split(".")[0]
+
+
+def article_path(found: list[tuple[tuple[str, ...], str, int]]) -> tuple[str | None, float]:
+    """Path of the article of a page by itself and the score of its best container."""
+    scores = container_scores(found)
+    best = best_path(scores)
+    return (whole_path(found, best), scores[best]) if best is not None else (None, 0.0)
+
+
+def chosen(found: list[tuple[tuple[str, ...], str, int]], winners: list[str]) -> list[int]:
+    """Places of the blocks of the article: below the first winner of the host that holds
+    all below the page's own path and no more again than that, else below the own path."""
+    own = article_path(found)[0]
+    if own is None:
+        return list(range(len(found)))
+    mine = under(found, own)
+    for path in winners:
+        if own.startswith(f"{path}/") or path == own:
+            there = under(found, path)
+            if 2 * plain(found, mine) >= plain(found, there):
+                return there
+    return mine or list(range(len(found)))
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         hosts, paths, votes = [], [], []
         for host, page in zip(b.column("host").to_pylist(), b.column("html"), strict=True):
-            scores = container_scores(blocks(page.as_py()))
-            best = best_path(scores)
-            if best is not None and scores[best] > 0:
+            path, score = article_path(blocks(page.as_py()))
+            if path is not None and score > 0:
                 hosts.append(host)
-                paths.append(best)
+                paths.append(path)
                 votes.append(1.0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.float64())],
@@ -247,14 +299,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, winners in zip(b.column("_html"), b.column("_winners").to_pylist(), strict=True):
             found = blocks(page.as_py())
-            own = best_path(container_scores(found))
-            for path in [*(winners or ()), *([own] if own else ())]:
-                if text := text_under(found, path):
-                    break
-            else:
-                # No container holds text: all blocks outside what is skipped.
-                text = "\n\n".join(t for _, t, _ in found)
-            texts.append(text)
+            texts.append("\n\n".join(found[i][1] for i in chosen(found, winners or [])))
         yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(texts, pa.string())], names=["_row", "_text"])
 
 
@@ -266,7 +311,7 @@ def host_of(url: Column) -> Column:
 def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = WINNING_SHARE) -> DataFrame:
     """``host`` and ``winners``: paths with at least that share of the votes of its pages, most votes first.
 
-    Each page with text votes for its best container. Votes are summed within tasks before
+    Each page with text votes for the path of its article. Votes are summed within tasks before
     the shuffle, so that a host with many pages sends a row per path and task.
     """
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
@@ -283,8 +328,9 @@ def main_text(
 ) -> DataFrame:
     """Add the main text of every page in ``out_col`` (a column of that name is replaced).
 
-    The page is read again with the winning paths of its host: the first that leads to text
-    is taken, else the page's own best container, else all its blocks. Blocks are joined by
+    The page is read again with the winning paths of its host: the first around the page's own
+    article (see ``whole_path``) is taken unless that is the lesser part of it, else the page's
+    own, else all its blocks. Blocks are joined by
     an empty line. Null and empty pages give the empty text; pages without a host vote and
     are read together as the host of the empty name. Rows that repeat stay. ``keep``: columns
     to return, all by default.
