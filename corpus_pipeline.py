@@ -55,7 +55,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: A fitted model, shingle similarities and tokens are beyond SQL; see tests/llm/test_pipeline.py.
+#: A fitted model, shingle similarities and tokens are beyond SQL; see tests/llm/test_queries.py.
 ORACLE_SQL = None
 
 
