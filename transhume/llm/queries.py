@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transhume.llm import chat, decontaminate, langid, lines, packing, pages, quality, rules, sharding, simhash
+from transhume.llm import chat, codes, decontaminate, langid, lines, packing, pages, quality, rules, sharding, simhash
 from transhume.llm.text import split_of
 from transhume.queries.registry import Query
 
@@ -258,3 +258,52 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+def _codes_sql() -> str:
+    """Rounds of fitting one after the other, each an assignment and its means."""
+    apart = "list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    nearest = "SELECT p, r, any_value(q) AS q, min([d, e]) AS best FROM (SELECT p, r, q, e, {apart} AS d FROM parts JOIN books{k} USING (p)) GROUP BY p, r"
+    steps = [
+        f"""kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT p, r, v[p * (len(v) // {codes.PARTS}) + 1:(p + 1) * (len(v) // {codes.PARTS})] AS q FROM kept, range({codes.PARTS}) AS t(p)
+), firsts AS (
+    SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e
+    FROM (SELECT vec_id, min(r) AS r FROM kept GROUP BY vec_id) ORDER BY vec_id LIMIT {codes.ENTRIES}
+), books0 AS MATERIALIZED (SELECT p, e, q AS c FROM parts JOIN firsts USING (r))"""
+    ]
+    for k in range(codes.ROUNDS + 1):
+        steps.append(f"near{k} AS MATERIALIZED ({nearest.format(apart=apart, k=k)})")
+        if k < codes.ROUNDS:
+            steps.append(
+                f"""means{k} AS (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m
+    FROM (SELECT p, best[2] AS e, i, sum(q[i]) AS s, count(*) AS n FROM near{k}, (SELECT unnest(range(1, (SELECT max(len(q)) FROM parts) + 1)) AS i) WHERE i <= len(q) GROUP BY ALL)
+    GROUP BY p, e
+), books{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, c) AS c FROM books{k} LEFT JOIN means{k} USING (p, e))"""
+            )
+    last = codes.ROUNDS
+    steps.append(
+        f"""coded AS (
+    SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM near{last} GROUP BY r
+), digest AS (
+    SELECT sha256(string_agg(c[i], ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, c, unnest(range(1, len(c) + 1)) AS i FROM books{last})
+)"""
+    )
+    return (
+        "WITH " + ", ".join(steps) + " SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256"
+        " FROM kept JOIN coded USING (r), digest"
+    )
+
+
+@register(_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, with the errors of its label."""
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"), keep=["vec_id", "label"])
+    summed = codes.with_sum_of_equals(coded, "label", "error", "label_error")
+    return summed.select("vec_id", "code", "error", "label_error", F.lit(codes.codes_digest(books)).alias("codebooks_sha256"))
