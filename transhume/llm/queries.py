@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transhume.llm import chat, codes, decontaminate, langid, lines, packing, pages, quality, rules, sharding, simhash
+from transhume.llm import chat, codes, decontaminate, langid, lines, packing, pages, quality, rules, sharding, simhash, trie
 from transhume.llm.text import split_of
 from transhume.queries.registry import Query
 
@@ -307,3 +307,16 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = codes.compress(table(spark, sf_dir, "embeddings"), keep=["vec_id", "label"])
     summed = codes.with_sum_of_equals(coded, "label", "error", "label_error")
     return summed.select("vec_id", "code", "error", "label_error", F.lit(codes.codes_digest(books)).alias("codebooks_sha256"))
+
+
+#: Vocabulary of byte-level BPE; the path is a parameter of the operator.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+
+
+@register()
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, and of the text that they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = trie.encode(docs, public_tokenizers.path(BYTE_TOKENIZER), keep=["doc_id"], decoded=True)
+    digest = lambda c, name: F.sha2(F.col(c).cast("binary"), 256).alias(name)
+    return found.select("doc_id", "n_tokens", digest("ids", "ids_sha256"), digest("decoded", "decoded_sha256"))
