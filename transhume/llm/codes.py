@@ -189,10 +189,9 @@ def compress(
     width = -(-longest // parts)
     row = F.struct(*[vectors[c].alias(c) for c in keep]).alias("row")
     blocks = dictionaries(good.select(row, F.col(vector_col).cast("array<double>").alias("vector")), parts * width, scale)
-    starts = np.zeros((0, parts * width))
-    if first := _first_vectors(slim, entries):
-        starts = np.array([v + [0.0] * (parts * width - len(v)) for v in first]).reshape(len(first), parts * width)
-    books = np.floor(scale * starts).astype(np.int64).reshape(-1, parts, width).transpose(1, 0, 2).copy()
+    first = [v + [0.0] * (parts * width - len(v)) for v in _first_vectors(slim, entries)]
+    starts = np.floor(scale * np.array(first, float)).astype(np.int64).reshape(len(first), parts, width)
+    books = starts.transpose(1, 0, 2).copy()
     for _ in range(rounds if books.size else 0):
         books = _next_books(blocks, books)
     schema = T.StructType(

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transhume.llm import chat, codes, decontaminate, langid, lines, packing, pages, quality, rules, sharding, simhash, trie
+from transhume.llm import chat, codes, decontaminate, langid, lines, packing, pages, quality, repair, rules, sharding, simhash, trie
 from transhume.llm.text import split_of
 from transhume.queries.registry import Query
 
@@ -309,6 +309,20 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed.select("vec_id", "code", "error", "label_error", F.lit(codes.codes_digest(books)).alias("codebooks_sha256"))
 
 
+@register()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation, after damage."""
+    original = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.repair(repair.damaged(original))
+    all_ids = original.select("conv_id").distinct()
+    for more in (found.plans, repair.digests(found.rows)):
+        more = more.withColumnRenamed("conv_id", "_conv")
+        all_ids = all_ids.join(more, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    zeros = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.lit(repair.EMPTY_SHA256)).alias("repaired_sha256")
+    return all_ids.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 #: Vocabulary of byte-level BPE; the path is a parameter of the operator.
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 
