@@ -222,19 +222,19 @@ def _gaps(pieces: list[dict]) -> int:
 def _plan(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own = tables()
     for b in batches:
-        for i in range(b.num_rows):
-            pieces = b.column("pieces")[i].as_py()
+        found: list[list] = [[] for _ in schema.names[1:]]
+        for pieces in b.column("pieces").to_pylist():
             number = np.frombuffer("".join(p["letters"] for p in pieces).encode(), np.uint8) - 65
             initial, fault = number % 4, number // 4
             cost, audit = own.cheapest(np.where(fault > 1, _GONE, initial + 4 * fault))
             legal = ((initial[1:] == 1) & (initial[:-1] != 1) & (initial[:-1] != 3)) | ((initial[1:] == 2) & (initial[:-1] == 1))
             counts = np.bincount(fault, minlength=4).tolist()
-            values = [_gaps(pieces), counts[3], counts[2], counts[1], int((~legal).sum()), cost]
             starts = [{"start": p["start"], "n": len(p["letters"])} for p in pieces]
-            system = bool(len(number)) and _first_is_system(audit, initial)
-            arrays = [b.column("conv_id").slice(i, 1), *(pa.array([v], pa.int64()) for v in values), pa.array([audit])]
-            arrays += [pa.array([system]), pa.array([starts], schema.field("starts").type)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            row = [_gaps(pieces), counts[3], counts[2], counts[1], int((~legal).sum()), cost, audit, _first_is_system(audit, initial), starts]
+            for column, value in zip(found, row, strict=True):
+                column.append(value)
+        columns = [pa.array(c, f.type) for c, f in zip(found, list(schema)[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("conv_id"), *columns], schema=schema)
 
 
 def _first_is_system(audit: str, initial: np.ndarray) -> bool:
@@ -244,27 +244,34 @@ def _first_is_system(audit: str, initial: np.ndarray) -> bool:
 
 def _turns(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per turn that is left: its place, its edit, the row it comes from, and its new role if it has one."""
+    held: list[list[pa.Array]] = []
+    size = 0
     for b in batches:
-        for i in range(b.num_rows):
-            edits = np.frombuffer(b.column("audit")[i].as_py().encode(), np.uint8)
-            starts = b.column("starts")[i].as_py()
+        plans = zip(b.column("audit").to_pylist(), b.column("system").to_pylist(), b.column("starts").to_pylist(), strict=True)
+        for i, (audit, system, starts) in enumerate(plans):
+            edits = np.frombuffer(audit.encode(), np.uint8)
             orders = np.concatenate([np.zeros(0, np.int64), *(s["start"] + np.arange(s["n"]) for s in starts)])
             source = np.cumsum(edits != ord("I")) - 1
             left = np.flatnonzero(edits != ord("D"))
-            offset = int(b.column("system")[i].as_py())
             for a in range(0, len(left), HANDED):
                 part = left[a : a + HANDED]
-                kind = edits[part]
-                place = np.arange(a, a + len(part))
-                role = np.where((place - offset) % 2 == 0, "user", "assistant")
-                columns = [
-                    pa.array([b.column("conv_id")[i].as_py()] * len(part), schema.field("conv_id").type),
-                    pa.array(place),
-                    pa.array([chr(k) for k in kind.tolist()], pa.string()),
-                    pa.array(orders[np.maximum(source[part], 0)] if len(orders) else place, mask=kind == ord("I")),
-                    pa.array(role, pa.string(), mask=kind == ord("K")),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                kind, place = edits[part], np.arange(a, a + len(part))
+                inserted, same = kind == ord("I"), kind == ord("K")
+                conv = b.column("conv_id").slice(i, 1).take(pa.array(np.zeros(len(part), np.int32)))
+                names = pa.array(kind.view("S1").astype("U1").tolist(), pa.string())
+                order = pa.array(orders[np.maximum(source[part], 0)] if len(orders) else place, mask=inserted)
+                role = pa.array(np.where((place - int(system)) % 2 == 0, "user", "assistant").tolist(), pa.string(), mask=same)
+                held.append([conv, pa.array(place), names, order, role])
+                size += len(part)
+                if size >= HANDED:
+                    yield _together(schema, held)
+                    held, size = [], 0
+    if held:
+        yield _together(schema, held)
+
+
+def _together(schema: pa.Schema, held: list[list[pa.Array]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*held, strict=True)], schema=schema)
 
 
 def repair(
