@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from transhume import session
-from transhume.sources import dump, tables
+from transhume.sources import dump, lexer, tables
 
 
 # -- CSV --------------------------------------------------------------------------------
@@ -249,7 +249,12 @@ def test_column_list_says_which_value_is_which(spark, tmp_path):
 @pytest.mark.parametrize(
     "text",
     [
-        "INSERT INTO `t` VALUES (1,'a;\nb'),(2,'c');\n",
+        "CREATE TABLE `t` (`a` int, `b` text);\nINSERT INTO `t` VALUES (1,'a',3);\n",
+        "CREATE TABLE `t` (`a` int, `b` text);\nINSERT INTO `t` (`a`,`c`) VALUES (1,'a');\n",
+        "CREATE TABLE `t` (`a` int, `b` text);\nINSERT INTO `t` (`a`,`b`) VALUES (1);\n",
+        "INSERT INTO `t` VALUES (1,'a') /*!50000 ,(2,'b') */;\n",
+        "CREATE TRIGGER x BEFORE INSERT ON t FOR EACH ROW BEGIN INSERT INTO t VALUES (1,'a'); END;\n",
+        "DELIMITER //\nCREATE PROCEDURE p() BEGIN INSERT INTO t VALUES (1,'a'); END //\n",
         "INSERT INTO `t` VALUES (1,'a'),(2,'b",
         "INSERT INTO `t` SELECT * FROM u;\n",
         "INSERT INTO `t` SET a = 1;\n",
@@ -259,3 +264,83 @@ def test_what_is_not_understood_raises(spark, tmp_path, text):
     (tmp_path / "d.sql").write_text(text)
     with pytest.raises(dump.RejectedStatements):
         dump.load_dump(spark, str(tmp_path))
+
+
+ROWS = [("1", "x"), ("2", "y")]
+
+
+@pytest.mark.parametrize(
+    "definition",
+    [
+        "CREATE TABLE `t` (`a` int, `b` text);",
+        "create table t (a int, b text)",
+        "CREATE TABLE `t` (`a` int,\n`b` text\n);",
+        "CREATE TABLE IF NOT EXISTS `shop`.`t` (\r\n  a decimal(10,2) DEFAULT '1,2' COMMENT 'x, (y',\r\n  `b` enum('p,q','r)') -- c, d\r\n, PRIMARY KEY (a, b), KEY k (b(10)), CHECK (a > 0))",
+        "CREATE TABLE t (a int /* , z int */, b text, CONSTRAINT c FOREIGN KEY (a) REFERENCES u (x, y)) COMMENT='(q, r)'",
+        "/*!40101 CREATE TABLE `t` (`a` int, `b` text) */;",
+        '-- before\n/* and */ CREATE TABLE t ("a" int, b text);',
+    ],
+)
+def test_definitions_name_the_columns(spark, tmp_path, definition):
+    (tmp_path / "d.sql").write_bytes((definition.rstrip(";") + ";\nINSERT INTO `t` VALUES (1,'x'),(2,'y');\n").encode())
+    got = dump.load_dump(spark, str(tmp_path))["t"]
+    assert got.columns == ["a", "b"] and sorted(map(tuple, got.collect())) == ROWS
+
+
+def test_quotes_and_commas_in_names(spark, tmp_path):
+    (tmp_path / "d.sql").write_text("CREATE TABLE `a b` (`x, (y` int, `q``r` text);\nINSERT INTO `a b` (`q``r`,`x, (y`) VALUES ('v',1);\n")
+    got = dump.load_dump(spark, str(tmp_path))
+    assert list(got) == ["a b"] and got["a b"].first().asDict() == {"x, (y": "1", "q`r": "v"}
+
+
+def test_surplus_values_are_cut_when_asked(spark, tmp_path):
+    (tmp_path / "d.sql").write_text("CREATE TABLE t (a int, b text);\nINSERT INTO t VALUES (1,'x'),(2,'y',3),(4);\n")
+    got = dump.load_dump(spark, str(tmp_path), skip_rejected=True)["t"]
+    assert sorted(map(tuple, got.collect())) == [("1", "x"), ("2", "y"), ("4", None)]
+    rows = dump.stage_rows(dump.read_statements(spark, str(tmp_path)))
+    (bad,) = dump.misfits(rows, {"t": ["a", "b"]}).collect()
+    assert (bad.table, bad.width, bad.room) == ("t", 3, 2)
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("/*!50000 INSERT INTO `t` VALUES (1,'x') */;\nINSERT INTO `t` VALUES (2,'y');\n", ROWS),
+        ("/*!40000 ALTER TABLE `t` DISABLE KEYS */;\nINSERT INTO t VALUES (1,'x');INSERT INTO t VALUES (2,'y')", ROWS),
+        ("INSERT INTO `t` VALUES (1,'a;\nb'),(2,'c;');\n", [("1", "a;\nb"), ("2", "c;")]),
+        ("INSERT INTO `t` VALUES (1,';;\\';'),(2,';''')\r\n;", [("1", ";;';"), ("2", ";'")]),
+        ("-- it's; one\n# \"two; \n/* three'; */INSERT INTO `t` VALUES (1,\"x;'\"),(2,'--;\"');", [("1", "x;'"), ("2", '--;"')]),
+        ("CREATE TABLE t (`;a` int, b text);INSERT INTO t VALUES (1,'/*;'),(5-3,'*/')", [("1", "/*;"), ("5-3", "*/")]),
+        ("/*!50003 CREATE TRIGGER x BEGIN INSERT INTO t VALUES (8,'q'); END */;;\nDELIMITER ;\nINSERT INTO t VALUES (1,'x');", [("1", "x")]),
+        ("INSERT INTO `t` VALUES (1,'" + "a;" * 100 + "'),(2,'y');", [("1", "a;" * 100), ("2", "y")]),
+    ],
+)
+@pytest.mark.parametrize("split_bytes", ["134217728", "40"])
+def test_statements_are_cut_in_any_split(spark, tmp_path, text, want, split_bytes):
+    (tmp_path / "d.sql").write_bytes(text.encode())
+    (tmp_path / "e.sql").write_text("INSERT INTO `u` VALUES (0);\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        pieces = lexer.read_pieces(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    statements = dump.as_statements(lexer.statements(pieces))
+    assert dump.rejected(statements).count() == 0
+    got = dump.dump_table(dump.insert_rows(statements), "t", ["a", "b"])
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_a_file_with_other_line_ends_is_cut_in_many_tasks(spark, tmp_path):
+    rows = [(str(i), "it's; " * (i % 5)) for i in range(3000)]
+    quoted = [(a, b.replace("'", "''")) for a, b in rows]
+    (tmp_path / "d.sql").write_bytes("".join(f"INSERT INTO t VALUES ({a},'{b}');  \r\n" for a, b in quoted).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        pieces = lexer.read_pieces(spark, str(tmp_path))
+        assert pieces.select("block").distinct().count() > 5
+        got = dump.load_dump(spark, str(tmp_path))["t"]
+        assert sorted(map(tuple, got.collect())) == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -182,3 +182,25 @@ def dump_load_files(spark, sf_dir):
     types = rows.schema
     typed = ", ".join(f"{c} {types[c].dataType.simpleString() if c in types.names else 'string'}" for c in ("s_suppkey", "s_name", "s_nationkey", "place", "s_acctbal"))
     return dump.load_dump(spark, path, {"supplier": typed}, name_contains="supplier")["supplier"]
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'it''s;' || chr(13) || chr(10) || '"' || c_name || '"; -- no' END AS note,
+              c_acctbal
+       FROM customer"""
+)
+def dump_load_definitions(spark, sf_dir):
+    """A definition on one line with bare names, statements with other line ends, semicolons and line ends in literals."""
+    key = F.col("c_custkey")
+    note = F.when(key % 3 != 0, F.concat(F.lit("it's;\r\n\""), F.col("c_name"), F.lit('"; -- no')))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", note.alias("note"), "c_acctbal")
+    path = stage_path(spark, "customer_dump")
+    text = F.concat(F.lit("'"), F.replace("note", F.lit("'"), F.lit("''")), F.lit("'"))
+    values = F.concat_ws(", ", F.col("c_custkey").cast("string"), F.coalesce(text, F.lit("NULL")), F.col("c_acctbal").cast("string"))
+    held = F.concat(F.lit("/*!50000 INSERT INTO customer VALUES ("), values, F.lit(") */;; \r"))
+    insert = F.concat(F.lit("/* one; it's */ insert into `customer` values ("), values, F.lit(");  \r"))
+    rows.select(F.when(key % 5 == 0, held).otherwise(insert).alias("value")).write.text(path)
+    create = "create table customer (c_custkey bigint, note varchar(99) default 'a, (b', c_acctbal double, primary key (c_custkey));"
+    spark.range(1).select(F.lit(create).alias("value")).write.mode("append").text(path)
+    _as_sql_files(spark, path)
+    return dump.load_dump(spark, path, {"customer": rows.schema})["customer"]
