@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from transhume.llm.text import SEED
+from transhume.session import stage
+
 #: A path wins on its host with at least this share of the votes; so at most ten can win.
 WINNING_SHARE = 0.1
 
+#: A block is furniture of its host if it stands on at least this share of its pages, and on two.
+#: A page has some blocks, so a host has at most ten times the blocks of a page that are.
+FURNITURE_SHARE = 0.1
+
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -234,72 +242,91 @@ def plain(found: list[tuple[tuple[str, ...], str, int]], places: Iterable[int])
     return sum(len(found[i][1]) - found[i][2] for i in places)
 
 
-def whole_path(found: list[tuple[tuple[str, ...], str, int]], path: str) -> str:
-    """The path of the article around a container.
+def digest(text: str) -> int:
+    """Digest of a block, the same whatever its numbers: days, prices and counts change on furniture."""
+    return xxhash.xxh64_intdigest(re.sub(r"\d+", "#", text.lower()), SEED) - 2**63
+
 
-    The nearest ``article`` or ``main``, or else the nearest container, the body included, that
-    holds more blocks of text outside links and is no part of a table, list or figure.
+def whole(found: list[tuple[tuple[str, ...], str, int]], path: str, furniture: Collection[int] = ()) -> list[int]:
+    """Places of the blocks of the article around a container.
+
+    All below the nearest ``article`` or ``main``. Without one, all below the container, and those
+    blocks of the nearest container around it, the body included, that are neither links nor
+    furniture of the host, if it has such blocks and is no part of a table, list or figure.
     """
     steps = path.split("/")
     for depth in range(len(steps), 0, -1):
         if _tag(steps[depth - 1]) in ("article", "main"):
-            return "/".join(steps[:depth])
+            return under(found, "/".join(steps[:depth]))
     own = set(under(found, path))
     for depth in range(len(steps) - 1, 0, -1):
-        outer = "/".join(steps[:depth])
-        more = [i for i in under(found, outer) if i not in own and len(found[i][1]) > 2 * found[i][2]]
+        around = [i for i in under(found, "/".join(steps[:depth])) if i not in own]
+        more = [i for i in around if len(found[i][1]) > 2 * found[i][2] and digest(found[i][1]) not in furniture]
         if more and _tag(steps[depth - 1]) not in PIECES:
-            return outer
-    return path
+            links = [i for i in around if len(found[i][1]) <= 2 * found[i][2] and digest(found[i][1]) not in furniture]
+            return sorted(own | {*more, *links})
+    return sorted(own)
 
 
 def _tag(step: str) -> str:
     return step.split(".")[0]
 
 
-def article_path(found: list[tuple[tuple[str, ...], str, int]]) -> tuple[str | None, float]:
-    """Path of the article of a page by itself and the score of its best container."""
-    scores = container_scores(found)
-    best = best_path(scores)
-    return (whole_path(found, best), scores[best]) if best is not None else (None, 0.0)
-
+def chosen(
+    found: list[tuple[tuple[str, ...], str, int]], winners: list[str], furniture: Collection[int] = ()
+) -> list[int]:
+    """Places of the blocks of the article.
 
-def chosen(found: list[tuple[tuple[str, ...], str, int]], winners: list[str]) -> list[int]:
-    """Places of the blocks of the article: below the first winner of the host that holds
-    all below the page's own path and no more again than that, else below the own path."""
-    own = article_path(found)[0]
-    if own is None:
+    The first winner of the host takes the place of the page's own best container, be it around, within or beside that,
+    if it holds at least a quarter as much text outside links; one around it must not hold more than twice
+    as much. So an advert that outweighs a short article is passed over, and a page of another template is
+    not. Without such a winner the own container stays.
+    """
+    path = best_path(container_scores(found))
+    if path is None:
         return list(range(len(found)))
-    mine = under(found, own)
-    for path in winners:
-        if own.startswith(f"{path}/") or path == own:
-            there = under(found, path)
-            if 2 * plain(found, mine) >= plain(found, there):
-                return there
-    return mine or list(range(len(found)))
+    weight = plain(found, under(found, path))
+    for winner in winners:
+        there = plain(found, under(found, winner))
+        around = path.startswith(f"{winner}/")
+        if there > 0 and 4 * there >= weight and (not around or 2 * weight >= there):
+            path = winner
+            break
+    return whole(found, path, furniture)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each page says of its host: its digest, the path that it votes for, and digests of its blocks."""
     for b in batches:
-        hosts, paths, votes = [], [], []
+        hosts, said, paths, own = [], [], [], []
         for host, page in zip(b.column("host").to_pylist(), b.column("html"), strict=True):
-            path, score = article_path(blocks(page.as_py()))
-            if path is not None and score > 0:
+            page = page.as_py()
+            found = blocks(page)
+            scores = container_scores(found)
+            path = best_path(scores)
+            if found:
                 hosts.append(host)
-                paths.append(path)
-                votes.append(1.0)
+                said.append(xxhash.xxh128_digest(page.encode(), SEED))
+                paths.append(path if path is not None and scores[path] > 0 else None)
+                own.append(sorted({digest(text) for _, text, _ in found}))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.float64())],
-            names=["host", "path", "vote"],
+            [pa.array(hosts, pa.string()), pa.array(said, pa.binary()), pa.array(paths, pa.string()), pa.array(own, pa.list_(pa.int64()))],
+            names=["host", "page", "path", "blocks"],
         )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, tuple[list[str], frozenset[int]]] = {}
     for b in batches:
         texts = []
-        for page, winners in zip(b.column("_html"), b.column("_winners").to_pylist(), strict=True):
+        for host, page, at in zip(b.column("_host").to_pylist(), b.column("_html"), range(b.num_rows), strict=True):
+            if host not in held:
+                if len(held) > 1000:
+                    held.clear()
+                furniture = b.column("_furniture")[at].as_py()
+                held[host] = b.column("_winners")[at].as_py() or [], frozenset(furniture or ())
             found = blocks(page.as_py())
-            texts.append("\n\n".join(found[i][1] for i in chosen(found, winners or [])))
+            texts.append("\n\n".join(found[i][1] for i in chosen(found, *held[host])))
         yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(texts, pa.string())], names=["_row", "_text"])
 
 
@@ -308,19 +335,29 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = WINNING_SHARE) -> DataFrame:
-    """``host`` and ``winners``: paths with at least that share of the votes of its pages, most votes first.
+def host_habits(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", share: float = WINNING_SHARE, furniture: float = FURNITURE_SHARE
+) -> DataFrame:
+    """``host``, ``winners`` and ``furniture``, a row per host, stored.
 
-    Each page with text votes for the path of its article. Votes are summed within tasks before
-    the shuffle, so that a host with many pages sends a row per path and task.
+    ``winners`` are the paths with at least that share of the votes of the host's pages, most votes first; each
+    page votes for its best container. ``furniture`` are digests of the blocks that stand on at least two of the
+    host's pages and that share of them. Equal pages of a host count once, so copies neither win a
+    vote nor make an article furniture. Votes and blocks are counted within tasks before they are shuffled, so a
+    host with many pages sends a row per path, or block, and task.
     """
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    votes = rows.mapInArrow(_votes, "host string, path string, vote double")
-    by_path = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"))
-    total = by_path.groupBy(F.col("host").alias("all_host")).agg(F.sum("votes").alias("all_votes"))
-    strong = by_path.join(total, F.col("host") == F.col("all_host")).where(F.col("votes") >= share * F.col("all_votes"))
+    said = rows.mapInArrow(_votes, "host string, page binary, path string, blocks array<long>")
+    said = stage(said.groupBy("host", "page").agg(F.first("path").alias("path"), F.first("blocks").alias("blocks")), "pages_said")
+    by_path = said.where("path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("votes"))
+    total = said.groupBy("host").agg(F.count("path").alias("all_votes"), F.count("*").alias("all_pages"))
+    by_block = said.select("host", F.explode("blocks").alias("block")).groupBy("host", "block").agg(F.count("*").alias("n")).where("n > 1")
+    strong = by_path.join(total, "host").where(F.col("votes") >= share * F.col("all_votes"))
     listed = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path")))
-    return strong.groupBy("host").agg(F.transform(listed, lambda s: s["path"]).alias("winners"))
+    winners = strong.groupBy("host").agg(F.transform(listed, lambda s: s["path"]).alias("winners"))
+    common = by_block.join(total, "host").where(F.col("n") >= furniture * F.col("all_pages"))
+    habits = winners.join(common.groupBy("host").agg(F.collect_list("block").alias("furniture")), "host", "full")
+    return stage(habits, "host_habits")
 
 
 def main_text(
@@ -328,12 +365,14 @@ def main_text(
 ) -> DataFrame:
     """Add the main text of every page in ``out_col`` (a column of that name is replaced).
 
-    The page is read again with the winning paths of its host: the first around the page's own
-    article (see ``whole_path``) is taken unless that is the lesser part of it, else the page's
-    own, else all its blocks. Blocks are joined by
-    an empty line. Null and empty pages give the empty text; pages without a host vote and
+    The page is read again with the habits of its host: the path that wins the vote takes the place of the
+    page's own best container if it holds most of it (see ``chosen``), and text around that container
+    is added unless it is furniture, text that stands on many pages of the host (see ``whole``). Blocks are joined
+    by an empty line. Null and empty pages give the empty text; pages without a host vote and
     are read together as the host of the empty name. Rows that repeat stay. ``keep``: columns
     to return, all by default.
+
+    The habits are stored before they meet the pages: where they are small, the pages stay in their place.
     """
     kept = [c for c in keep or pages.columns if c != out_col]
     rows = pages.select(
@@ -341,7 +380,9 @@ def main_text(
         F.col(html_col).alias("_html"),
         host_of(F.col(url_col)).alias("_host"),
     )
-    winners = winning_paths(pages, url_col, html_col).select(F.col("host").alias("_host"), F.col("winners").alias("_winners"))
-    met = rows.join(winners, "_host", "left").select("_row", "_html", "_winners")
+    habits = host_habits(pages, url_col, html_col).select(
+        F.col("host").alias("_host"), F.col("winners").alias("_winners"), F.col("furniture").alias("_furniture")
+    )
+    met = rows.join(habits, "_host", "left").select("_row", "_html", "_host", "_winners", "_furniture")
     out = met.mapInArrow(_extract, T.StructType([rows.schema["_row"], T.StructField("_text", T.StringType())]))
     return out.select("_row.*", F.col("_text").alias(out_col))
