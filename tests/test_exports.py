@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tests import migration_rows as given
 from transhume import rulebook
+from transhume.operators import filters
 from transhume.plans import accounts as acc
 from transhume.plans import audits, everything, facts, people, sales
 from transhume.schemas import TARGETS, source_schema
-from transhume.sources import tables
+from transhume.sources import dump, tables
 
 FAILURE = (PySparkException, Py4JJavaError)
 NAMES = rulebook.AccountRules("demo\\Acme")
@@ -449,4 +450,95 @@ def test_single_export_brings_what_it_reads(spark):
     written = []
     made, outcomes = run(spark, given.everything(spark), lambda df, name: written.append(name), only=["deals"])
     assert written == ["deals"]
-    assert {o.name for o in outcomes} == {"discount_codes", "platform_groups", "platform_accounts", "deals"}
+    assert {o.name for o in outcomes} == {"platform_groups", "platform_accounts", "deals"}
+
+
+# -- counts, positions, sinks --------------------------------------------------------------------
+
+
+def test_counts_come_with_the_jobs_that_write(spark, tmp_path):
+    sources = given.everything(spark)
+    made, outcomes = run(spark, sources, tables.parquet_sink(str(tmp_path)))
+    counts = {o.name: o.counts for o in outcomes}
+    for name, table in made.items():
+        assert counts[name]["written"] == table.count()
+        for c in ("user_uuid", "platform_account_uuid"):
+            if c in table.columns:
+                assert counts[name][f"{c}_matched"] == table.where(F.col(c).isNotNull()).count()
+    accounts = sources["accounts"]
+    steps = counts["platform_accounts"]
+    assert steps["read"] == accounts.count() >= steps["own"] >= steps["one_per_purchase"] >= steps["one_per_login"]
+    assert steps["own"] == filters.exclude_prefix(accounts, "login", rulebook.FOREIGN_LOGIN_PREFIX).count()
+    survivors = acc.surviving_accounts(accounts, sources.get("preferred_logins"))
+    assert steps["one_per_login"] == survivors.count()
+    assert steps["with_group"] >= steps["with_group_uuid"] == steps["written"]
+
+
+def test_tables_are_reads_of_what_was_written(spark, tmp_path):
+    made, _ = run(spark, given.everything(spark), tables.csv_sink(str(tmp_path)), only=["users", "deals"])
+    for name in ("users", "deals"):
+        assert all(str(tmp_path) in f for f in made[name].inputFiles())
+    assert made["deals"].collect() == made["deals"].collect()
+
+
+def test_only_builds_no_table_that_it_does_not_need(spark):
+    _, outcomes = run(spark, given.everything(spark), only=["users"])
+    assert [o.name for o in outcomes] == ["users"]
+    _, outcomes = run(spark, given.everything(spark), only=["purchases"])
+    assert [o.name for o in outcomes] == ["discount_codes", "purchases"]
+
+
+def test_a_failing_rewrite_leaves_the_earlier_files(spark, tmp_path):
+    path = str(tmp_path / "deep" / "users")
+    good = spark.range(5).selectExpr("id", "cast(id as string) AS name")
+    bad = spark.range(8, numPartitions=8).select("id", F.when(F.col("id") == 7, F.raise_error(F.lit("broken")).cast("string")).alias("name"))
+    for write, read in ((tables.write_parquet, spark.read.parquet), (tables.write_csv, lambda p: tables.read_csv(spark, p, "id long, name string"))):
+        write(good, f"{path}_{write.__name__}")
+        with pytest.raises(Exception, match="broken"):
+            write(bad, f"{path}_{write.__name__}")
+        assert read(f"{path}_{write.__name__}").count() == 5
+        write(good.limit(2), f"{path}_{write.__name__}")
+        assert read(f"{path}_{write.__name__}").count() == 2
+    assert sorted(f.name for f in (tmp_path / "deep").iterdir()) == ["users_write_csv", "users_write_parquet"]
+
+
+def test_file_order_decides_first_and_last(spark, tmp_path):
+    """Of repeated logins the first account stays and the later password counts, as the files have them."""
+    sources = given.everything(spark)
+    login = acc.surviving_accounts(sources["accounts"]).where("login IS NOT NULL").first().login
+    for k, password in enumerate(["old_z", "new_a"]):
+        (tmp_path / "data").mkdir(exist_ok=True)
+        (tmp_path / "data" / f"part-{k}.csv").write_text(f"account_login,main_password,investor_password\n{login},{password},x\n")
+    back = tables.read_csv(spark, str(tmp_path / "data"), "account_login string, main_password string, investor_password string", position=True)
+    sources["account_data"] = back
+    made, _ = run(spark, sources, tables.parquet_sink(str(tmp_path / "out")), keep_secrets=True)
+    assert {r.main_password for r in made["platform_accounts"].collect() if r.platform_login_id == login} <= {"new_a"}
+    rows = sources["accounts"].where(F.col("login") == login).limit(1)
+    names = rows.columns
+    for k, at in enumerate(["2022-02-02T00:00:00.000000", "2021-01-01T00:00:00.000000"]):
+        tables.write_csv(rows.withColumn("created_at", F.lit(at).cast(rows.schema["created_at"].dataType)).coalesce(1), str(tmp_path / f"accounts{k}"))
+        (tmp_path / "accounts").mkdir(exist_ok=True)
+        next((tmp_path / f"accounts{k}").glob("*.csv")).replace(tmp_path / "accounts" / f"part-{k}.csv")
+    sources["accounts"] = tables.read_csv(spark, str(tmp_path / "accounts"), rows.schema, position=True)
+    assert sources["accounts"].columns == [*names, tables.POSITION]
+    first = acc.surviving_accounts(sources["accounts"], order_by=[tables.POSITION]).collect()
+    earliest = acc.surviving_accounts(sources["accounts"]).collect()
+    assert [str(r.created_at)[:4] for r in first] == ["2022"] and [str(r.created_at)[:4] for r in earliest] == ["2021"]
+
+
+def test_dump_rows_know_their_place(spark, tmp_path):
+    (tmp_path / "a.sql").write_text("CREATE TABLE t (a int);\nINSERT INTO t VALUES (5),(3);\nINSERT INTO t VALUES (4);\n")
+    (tmp_path / "b.sql").write_text("INSERT INTO t VALUES (1);\n")
+    got = dump.load_dump(spark, str(tmp_path), {"t": "a int"}, position=True)["t"]
+    assert [r.a for r in got.orderBy(tables.POSITION).collect()] == [5, 3, 4, 1]
+
+
+def test_salted_exports_are_the_plain_ones(spark, tmp_path):
+    sources = given.everything(spark)
+    plain, _ = run(spark, sources, tables.parquet_sink(str(tmp_path / "plain")), only=["users", "account_stats", "deals"], stats_keys=["src_id"] if "src_id" in sources["account_stats"].columns else None)
+    spread = {n: F.lit(1) for n in ("users", "account_stats", "deals")}
+    salted, outcomes = run(spark, sources, tables.parquet_sink(str(tmp_path / "salted")), only=list(spread), spread_by=spread, hot_rows=1, stats_keys=["src_id"] if "src_id" in sources["account_stats"].columns else None)
+    assert all(o.ok for o in outcomes)
+    for name in ("users", "deals"):
+        assert sorted(map(repr, salted[name].collect())) == sorted(map(repr, plain[name].collect()))
+    assert salted["account_stats"].count() == plain["account_stats"].count()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from transhume.functions.keys import wide_key
@@ -143,3 +143,38 @@ def step_funnel(df: DataFrame, steps: Sequence[tuple[str, str, Column]]) -> Data
         counts.append(count_if(passed).alias(f"n{i}"))
         rows.append((name, reason, f"n{i - 1}", f"n{i}"))
     return funnel_rows(df.agg(*counts), rows)
+
+
+#: Sees the rows after a step, under the step's name, and gives them on.
+Watch = Callable[[DataFrame, str], DataFrame]
+
+
+def unwatched(df: DataFrame, step: str) -> DataFrame:
+    return df
+
+
+class Counts:
+    """Row counts of steps, made by the job that runs them: no row is read again to be counted.
+
+    ``watch`` puts a step under observation. ``taken`` are the counts once the plan has run; it waits for them,
+    so it is asked only after the plan's first action. Of a plan that runs twice the first run counts.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, Observation]] = []
+
+    def watch(self, df: DataFrame, step: str, matched: Sequence[str] = ()) -> DataFrame:
+        """Count the rows of a step, and those that have a value in each of some columns."""
+        seen = Observation()
+        self._seen.append((step, seen))
+        rows = F.count(F.lit(1)).alias("rows")
+        return df.observe(seen, rows, *[count_if(F.col(c).isNotNull()).alias(f"matched_{i}") for i, c in enumerate(matched)])
+
+    def taken(self, matched: Sequence[str] = ()) -> dict[str, int]:
+        """Rows of every step, and ``<column>_matched`` of the step that was asked for them."""
+        out: dict[str, int] = {}
+        for step, seen in self._seen:
+            found = seen.get
+            out[step] = found["rows"]
+            out.update({f"{c}_matched": found[f"matched_{i}"] for i, c in enumerate(matched) if f"matched_{i}" in found})
+        return out

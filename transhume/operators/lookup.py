@@ -101,9 +101,17 @@ def _join(
     return joined.drop(_KEY)
 
 
-def lookup_self(df: DataFrame, on: str, key: str, take: dict[str, str | Column]) -> DataFrame:
-    """Look up other rows of the same table by its primary key."""
-    return lookup(df, df, on, key, take, unique=True)
+def lookup_self(
+    df: DataFrame,
+    on: str,
+    key: str,
+    take: dict[str, str | Column],
+    salt_hot: Column | None = None,
+    hot_rows: int = HOT_ROWS,
+    hot_in: DataFrame | None = None,
+) -> DataFrame:
+    """Look up other rows of the same table by its primary key. ``salt_hot`` is as in ``lookup``."""
+    return lookup(df, df, on, key, take, unique=True, salt_hot=salt_hot, hot_rows=hot_rows, hot_in=hot_in)
 
 
 def lookup_two_hop(

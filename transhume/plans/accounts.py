@@ -11,6 +11,7 @@ from transhume import rulebook
 from transhume.functions.keys import random_uuid, uuid_from
 from transhume.functions.text import blank_to_null, present
 from transhume.operators import conform, dedup, filters, lookup, rules
+from transhume.operators.audit import Watch, unwatched
 from transhume.rulebook import AccountRules
 from transhume.schemas import TARGETS
 
@@ -34,19 +35,22 @@ def surviving_accounts(
     order_by: Sequence[str] = ("created_at", "login"),
     null_purchases: str = dedup.COLLAPSE,
     foreign_prefix: str = rulebook.FOREIGN_LOGIN_PREFIX,
+    preferred_last_by: Sequence[str] | None = None,
+    watch: Watch = unwatched,
 ) -> DataFrame:
     """Own accounts, one per purchase and then one per login.
 
     Where a preference names the login of a purchase, that row wins, and preferred
-    rows come before others when logins are made unique.
+    rows come before others when logins are made unique. Of several preferences of a purchase the last
+    in ``preferred_last_by`` order counts. ``watch`` sees the rows after each step.
     """
-    df = filters.exclude_prefix(accounts, "login", foreign_prefix)
+    df = watch(filters.exclude_prefix(watch(accounts, "read"), "login", foreign_prefix), "own")
     if preferences is None:
-        df = dedup.keep_first(df, ["purchase_id"], order_by, null_purchases)
-        return dedup.keep_first(df, ["login"], order_by)
-    df = dedup.flag_preferred(df, preferences, "purchase_id", "login", _PREFERRED)
-    df = dedup.keep_preferred(df, ["purchase_id"], order_by, F.col(_PREFERRED), null_purchases)
-    return dedup.keep_preferred(df, ["login"], order_by, F.col(_PREFERRED)).drop(_PREFERRED)
+        df = watch(dedup.keep_first(df, ["purchase_id"], order_by, null_purchases), "one_per_purchase")
+        return watch(dedup.keep_first(df, ["login"], order_by), "one_per_login")
+    df = dedup.flag_preferred(df, preferences, "purchase_id", "login", _PREFERRED, preferred_last_by)
+    df = watch(dedup.keep_preferred(df, ["purchase_id"], order_by, F.col(_PREFERRED), null_purchases), "one_per_purchase")
+    return watch(dedup.keep_preferred(df, ["login"], order_by, F.col(_PREFERRED)), "one_per_login").drop(_PREFERRED)
 
 
 def with_known_group(
@@ -116,17 +120,19 @@ def export_platform_accounts(
     spread_by: Column | None = None,
     hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["platform_accounts"],
+    preferred_last_by: Sequence[str] | None = None,
+    watch: Watch = unwatched,
 ) -> DataFrame:
     """Accounts of the target platform. Sources that are absent leave their columns null.
 
     ``spread_by`` salts users with many accounts and, where they were kept, accounts
-    without a purchase.
+    without a purchase. ``watch`` sees the rows after each step that may drop some.
     """
     nothing = F.lit(None).cast("string")
     salting = {"salt_hot": spread_by, "hot_rows": hot_rows, "hot_in": accounts}
-    df = surviving_accounts(accounts, preferences, order_by, null_purchases)
+    df = surviving_accounts(accounts, preferences, order_by, null_purchases, preferred_last_by=preferred_last_by, watch=watch)
     # The lookups by login follow each other: after the last dedup the rows already lie by login.
-    df = with_known_group(df, stats, stats_last_by)
+    df = watch(with_known_group(df, stats, stats_last_by), "with_group")
     if account_data is not None and keep_secrets:
         passwords = {"main_password": "main_password", "investor_password": "investor_password"}
         df = lookup.lookup(
@@ -170,7 +176,7 @@ def export_platform_accounts(
     else:
         stage = F.lit(rulebook.DEFAULT_ACCOUNT_STAGE)
     df = conform.with_defaults(df, {"account_stage": stage})
-    df = with_group_uuid(df, groups)
+    df = watch(with_group_uuid(df, groups), "with_group_uuid")
     df = conform.with_defaults(df, {"platform_user_id": nothing})
     df = conform.with_constants(df, {"action_type": F.lit("challenge")})
     return conform.select_available(df, columns)
@@ -180,12 +186,14 @@ def export_account_stats(
     stats: DataFrame,
     accounts: DataFrame,
     id_keys: Sequence[str] | None = None,
+    spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
     columns: Sequence[str] | None = TARGETS["account_stats"],
 ) -> DataFrame:
     """Statistics of accounts that have both a uuid and a group.
 
     A login may come with several rows, so that the uuid is random unless ``id_keys``
-    names a unique key.
+    names a unique key. ``spread_by`` salts logins with many rows.
     """
     taken = {"platform_account_uuid": "uuid", "platform_group_uuid": "platform_group_uuid"}
     df = lookup.lookup(
@@ -198,6 +206,8 @@ def export_account_stats(
         unique=True,
         inner=True,
         required=list(taken),
+        salt_hot=spread_by,
+        hot_rows=hot_rows,
     )
     df = conform.with_constants(
         df,

@@ -43,13 +43,16 @@ def export_users(
     columns: Sequence[str] | None = TARGETS["users"],
     user_role: str = rulebook.USER_ROLE_ID,
     admin_role: str = rulebook.ADMIN_ROLE_ID,
+    spread_by: Column | None = None,
+    hot_rows: int = lookup.HOT_ROWS,
 ) -> DataFrame:
+    """Users of the target platform. ``spread_by`` salts referrers of many users, and users without one."""
     nothing = F.lit(None).cast("string")
     df = conform.with_constants(users, {"uuid": uuid_from("users", "id")})
     df = conform.with_constants(df, {"role_id": rules.two_way(F.col("role") == 2, user_role, admin_role)})
     df = conform.rename(df, {"ref_by_user_id": "ref_by_user_id_old"})
     referrers = users.select("id", uuid_from("users", "id").alias("uuid"))
-    df = lookup.lookup(df, referrers, "ref_by_user_id_old", "id", {"ref_by_user_id": "uuid"}, unique=True)
+    df = lookup.lookup(df, referrers, "ref_by_user_id_old", "id", {"ref_by_user_id": "uuid"}, unique=True, salt_hot=spread_by, hot_rows=hot_rows)
     df = conform.rename(
         df,
         {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transhume.operators import audit, dedup, lookup
 from transhume.queries.registry import query, table
 from transhume.session import stage_path
 from transhume.sources import dump, tables
@@ -204,3 +205,31 @@ def dump_load_definitions(spark, sf_dir):
     spark.range(1).select(F.lit(create).alias("value")).write.mode("append").text(path)
     _as_sql_files(spark, path)
     return dump.load_dump(spark, path, {"customer": rows.schema})["customer"]
+
+
+@query(
+    """SELECT o_custkey, min(o_orderkey) AS first_order, max(o_orderkey) AS last_order,
+              max_by(o_orderpriority, o_orderkey) AS last_priority
+       FROM orders GROUP BY o_custkey"""
+)
+def input_position(spark, sf_dir):
+    """Of the rows of each customer the first and the last, as a folder of files holds them."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    path = stage_path(spark, "orders_csv")
+    tables.write_csv(orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey"), path)
+    back = tables.read_csv(spark, path, orders.schema, position=True)
+    firsts = dedup.keep_first(back, ["o_custkey"], [tables.POSITION]).select("o_custkey", F.col("o_orderkey").alias("first_order"))
+    taken = {"last_order": "o_orderkey", "last_priority": "o_orderpriority"}
+    return lookup.lookup(firsts, back, "o_custkey", "o_custkey", taken, last_by=[tables.POSITION])
+
+
+@query("SELECT 'written' AS step, count(*) AS n, count(DISTINCT n_regionkey) AS regions FROM nation")
+def publish_and_count(spark, sf_dir):
+    """A table replaced by its sink, with the counts that the writing job made."""
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    folder, counts = stage_path(spark, "published"), audit.Counts()
+    sink = tables.parquet_sink(folder)
+    sink(nations.limit(0), "nation")
+    back = sink(counts.watch(nations, "written"), "nation")
+    n = counts.taken()["written"]
+    return back.agg(F.countDistinct("n_regionkey").alias("regions")).select(F.lit("written").alias("step"), F.lit(n).cast("long").alias("n"), "regions")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from transhume.functions.parse import sql_literal
 from transhume.session import stage_path
 from transhume.sources import lexer
+from transhume.sources.tables import POSITION
 from transhume.sources.lexer import BLOCK, DOUBLE, LINE, NAME, SINGLE
 
 # The text forms of a dump.
@@ -220,13 +221,15 @@ def dump_table(
     columns: list[str],
     schema: T.StructType | str | None = None,
     lenient: bool = False,
+    position: bool = False,
 ) -> DataFrame:
     """Rows of one table under its column names, typed where the schema says so.
 
     Literals are decoded here, column by column; a column list of the INSERT says which is
     which, and a column that it leaves out is null. Short tuples are filled with nulls and
     surplus values dropped. ``lenient`` makes a value of the wrong type null instead of
-    failing.
+    failing. ``position`` adds where the row stands in its file, statement and values, for rows of
+    statements that have a place.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -237,7 +240,8 @@ def dump_table(
         value, kind = sql_literal(F.get("literals", at)), types.get(name, T.StringType())
         return (value.try_cast(kind) if lenient else value.cast(kind)).alias(name)
 
-    return rows.filter(F.col("table") == table).select(*[column(i, c) for i, c in enumerate(columns)])
+    place = [F.struct("file", "block", F.col("order").alias("row"), "at").alias(POSITION)] if position else []
+    return rows.filter(F.col("table") == table).select(*[column(i, c) for i, c in enumerate(columns)], *place)
 
 
 def load_dump(
@@ -248,6 +252,7 @@ def load_dump(
     lenient: bool = False,
     statement_end: str | None = None,
     skip_rejected: bool = False,
+    position: bool = False,
 ) -> dict[str, DataFrame]:
     """Every table of a dump by name; tables without a definition get ``_c0``, ``_c1``, …
 
@@ -256,7 +261,7 @@ def load_dump(
     lost unseen. With ``skip_rejected`` such statements and surplus values are left out, and ``rejected`` and ``misfits``
     tell which. The dump is read once and stored as statements; these are read for what is
     rejected, for definitions and for rows. One row per table reaches the driver. Without a definition
-    an INSERT's column list names the columns.
+    an INSERT's column list names the columns. ``position`` adds the place of each row (without ``statement_end``).
     """
     statements = read_statements(spark, path, name_contains, statement_end)
     if not skip_rejected and (bad := rejected(statements).select("file", F.substring("statement", 1, 80)).limit(3).collect()):
@@ -270,7 +275,7 @@ def load_dump(
             columns[r["table"]] = r["w"]["listed"] or [f"_c{i}" for i in range(r["w"]["width"])]
     if not skip_rejected and (bad := misfits(rows, columns).limit(3).collect()):
         raise RejectedStatements("; ".join(f"{r.file}: a row of {r.width} values for {r.room} columns of {r.table}" for r in bad))
-    return {t: dump_table(rows, t, cols, (schemas or {}).get(t), lenient) for t, cols in columns.items()}
+    return {t: dump_table(rows, t, cols, (schemas or {}).get(t), lenient, position) for t, cols in columns.items()}
 
 
 def misfits(rows: DataFrame, columns: dict[str, list[str]]) -> DataFrame:

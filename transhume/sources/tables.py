@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Column that says where in its source a row stands: file, place of the split in it, place in that. It
+#: orders the rows as the files hold them, files by name, and stays with a row that is stored.
+POSITION = "_position"
+
 # Quotes are doubled, as PostgreSQL and most tools write them. The marker for null
 # keeps an empty quoted cell ("") apart from an empty one.
 _CSV = {
@@ -39,6 +46,18 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**_CSV).csv(path).columns
 
 
+def with_position(df: DataFrame, name: str = POSITION) -> DataFrame:
+    """Add the position of each row; apply it straight to a scan of files."""
+    return df.withColumn(
+        name,
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -47,6 +66,7 @@ def read_csv(
     mode: str = STRICT,
     corrupt_column: str | None = None,
     multiline: bool = False,
+    position: bool = False,
 ) -> DataFrame:
     """Scan a CSV table.
 
@@ -55,7 +75,7 @@ def read_csv(
     single types. ``mode`` STRICT fails on a cell of the wrong type, TOLERANT makes
     the cell null and keeps the row; ``corrupt_column`` then holds the raw line of
     such rows. ``multiline`` reads line breaks inside quotes, at the price that a
-    file is no longer split between tasks. Without a schema the types are inferred,
+    file is no longer split between tasks. ``position`` adds the column ``POSITION``. Without a schema the types are inferred,
     which costs another pass over the data.
     """
     reader = spark.read.options(**_CSV).options(mode=mode, multiLine=multiline, enforceSchema=False)
@@ -71,14 +91,18 @@ def read_csv(
     if corrupt_column is not None:
         fields.append(T.StructField(corrupt_column, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(T.StructType(fields)).csv(path)
+    rows = reader.schema(T.StructType(fields)).csv(path)
+    return with_position(rows) if position else rows
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **csv) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, position: bool = False, **csv
+) -> DataFrame:
     """Scan a table: parquet when the path says so, else CSV."""
     if path.rstrip("/").endswith(".parquet"):
-        return spark.read.parquet(path)
-    return read_csv(spark, path, schema, **csv)
+        rows = spark.read.parquet(path)
+        return with_position(rows) if position else rows
+    return read_csv(spark, path, schema, position=position, **csv)
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **csv) -> DataFrame | None:
@@ -91,13 +115,66 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | str | N
         raise
 
 
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace the files at a path by what ``write`` puts into a fresh folder beside it.
+
+    The earlier files stay where they are until the new ones are complete; a write that fails leaves them
+    as they were and nothing else. Then the two folders change places by renaming. On a file
+    system that renames in one step a reader finds either the old files or the new ones, but for
+    the moment between the two steps; if the second one fails, the old files are put back.
+    """
+    jvm = spark._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    target = fs_path(path.rstrip("/"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex[:12]
+    attempt, earlier = (fs_path(target.getParent(), f"_{kind}_{target.getName()}_{mark}") for kind in ("attempt", "earlier"))
+    try:
+        write(attempt.toString())
+        had = fs.exists(target)
+        if had and not fs.rename(target, earlier):
+            raise OSError(f"{path} cannot be renamed")
+        if not fs.rename(attempt, target):
+            if had:
+                fs.rename(earlier, target)
+            raise OSError(f"{path} cannot be replaced")
+        if had:
+            fs.delete(earlier, True)
+    finally:
+        fs.delete(attempt, True)
+
+
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
-    """Write one table as a folder of CSV files with headers."""
-    df.write.mode("overwrite").options(**_CSV_WRITE).csv(path, compression=compression)
+    """Write one table as a folder of CSV files with headers; earlier files are replaced at the end (see ``publish``)."""
+    write = lambda to: df.write.options(**_CSV_WRITE).csv(to, compression=compression)
+    publish(df.sparkSession, path, write)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Write one table as a folder of parquet files; earlier files are replaced at the end (see ``publish``)."""
+    publish(df.sparkSession, path, lambda to: df.write.parquet(to))
+
+
+def csv_sink(folder: str, compression: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """A ``write`` for ``run_all``: a folder of CSV files per table; gives back the table as it was written."""
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}"
+        write_csv(df, path, compression)
+        return read_csv(df.sparkSession, path, df.schema, multiline=True)
+
+    return write
+
+
+def parquet_sink(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """The same with parquet files."""
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}"
+        write_parquet(df, path)
+        return df.sparkSession.read.parquet(path)
+
+    return write
 
 
 def row_count(df: DataFrame) -> int:
