@@ -16,7 +16,10 @@ from transhume.llm.ranking import numbered
 from transhume.llm.text import batch, digest_of
 from transhume.session import stage
 
-#: Lines of fewer words are never removed: headings and list items repeat by nature.
+#: Lines with fewer characters (words with one space apart) are never removed: marks, numbers and rules.
+MIN_LETTERS = 8
+
+#: Lines of fewer words are removed if they are equal to an earlier one, not if they are a word apart.
 MIN_WORDS = 8
 
 
@@ -35,25 +38,27 @@ def word_count(line: Column) -> Column:
     return F.when(line == "", 0).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
 
 
-def raw_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+def raw_lines(docs: DataFrame, id_col: str, text_col: str, min_letters: int) -> DataFrame:
     """``doc_id``, ``doc`` (digest of the whole text), ``at`` (number of the line) and ``raw``, the line.
 
-    Lines too short for so many words are left out.
+    Lines too short for so many letters are left out.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), digest_of(F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
     split = rows.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
-    return split.where(F.octet_length("raw") >= 2 * min_words - 1)
+    return split.where(F.octet_length("raw") >= min_letters)
 
 
-def occurrences(lines: DataFrame, min_words: int) -> DataFrame:
-    """Of every line of at least ``min_words`` words its place, ``h`` (128-bit digest of its words) and ``keys``."""
+def occurrences(lines: DataFrame, min_letters: int, min_words: int) -> DataFrame:
+    """Of every line of at least ``min_letters`` letters its place, ``h`` (128-bit digest of its words) and
+    ``keys``, which are null for lines of fewer than ``min_words`` words."""
     lined = lines.select("doc_id", "doc", "at", normal_line(F.col("raw")).alias("line"))
     counted = lined.select("doc_id", "doc", "at", "line", word_count(F.col("line")).alias("words"))
+    keys = F.when(F.col("words") >= min_words, half_keys(F.col("line"), F.col("words")))
     keyed = counted.select(
-        "doc_id", "doc", "at", "words", line_digest(F.col("line")).alias("h"), half_keys(F.col("line"), F.col("words")).alias("keys")
+        "doc_id", "doc", "at", F.char_length("line").alias("letters"), line_digest(F.col("line")).alias("h"), keys.alias("keys")
     )
     # Stored before short lines are left out: a filter would make each line normal once more.
-    return stage(keyed, "occurrences").where(F.col("words") >= min_words).drop("words")
+    return stage(keyed, "occurrences").where(F.col("letters") >= min_letters).drop("letters")
 
 
 def line_digest(line: Column) -> Column:
@@ -174,10 +179,12 @@ def near_lines(distinct: DataFrame, lines: DataFrame) -> DataFrame:
     return ranked.join(later, "rank", "left_semi").select("h").distinct()
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_letters: int = MIN_LETTERS
+) -> DataFrame:
     """Numbers of the lines to remove: ``doc_id``, ``doc`` (digest of the text), ``cut`` (array of int)."""
-    lines = raw_lines(docs, id_col, text_col, min_words)
-    found = occurrences(lines, min_words)
+    lines = raw_lines(docs, id_col, text_col, min_letters)
+    found = occurrences(lines, min_letters, min_words)
     distinct = stage(
         found.groupBy("h").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
         "distinct_lines",
@@ -204,14 +211,17 @@ def dedup_lines(
     min_words: int = MIN_WORDS,
     cut_col: str = "lines_cut",
     drop_emptied: bool = True,
+    min_letters: int = MIN_LETTERS,
 ) -> DataFrame:
     """Documents without the lines that an earlier line repeats, but for at most one word.
 
     Lines end at ``\\n``. Two lines are alike if their words (lower case, apart by white
-    space) differ by one inserted, deleted or replaced word at most. Of alike lines the
+    space) are equal or, where both have ``min_words`` words or more, differ by one inserted, deleted or replaced
+    word. Of alike lines the
     earliest stays, by id (null last), digest of the text and line; a line goes if any
-    earlier line is alike, whether or not that one stays. Lines of fewer than ``min_words``
-    words always stay. Returns all columns with ``text_col`` cut and ``cut_col`` added (lines
+    earlier line is alike, whether or not that one stays. Lines of fewer than ``min_letters``
+    characters, as words with one space apart, always stay; so lines of a script without spaces are
+    compared as whole ones. Returns all columns with ``text_col`` cut and ``cut_col`` added (lines
     removed; a column of that name is replaced). A document that lost lines and has no word
     left goes if ``drop_emptied``; documents that were empty or null stay as they are. Rows
     that repeat both id and text are one document and are cut alike.
@@ -222,7 +232,7 @@ def dedup_lines(
     variants make no pairs. Each link is verified on the words.
     """
     kept = [c for c in docs.columns if c != cut_col]
-    cuts = repeated(docs, id_col, text_col, min_words)
+    cuts = repeated(docs, id_col, text_col, min_words, min_letters)
     cuts = cuts.select(F.col("doc_id").alias("_cut_id"), F.col("doc").alias("_cut_doc"), F.col("cut").alias("_cut"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), digest_of(F.col(text_col)).alias("_doc"))
     met = rows.join(

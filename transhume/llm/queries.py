@@ -78,15 +78,15 @@ WITH raw AS (
 ), occ AS (
     SELECT doc_id, doc, pos, w, array_to_string(w, ' ') AS s
     FROM (SELECT doc_id, doc, pos, list_filter({_WORDS}, lambda x: x <> '') AS w FROM raw)
-    WHERE len(w) >= 8
+    WHERE length(array_to_string(w, ' ')) >= 8
 ), firsts AS (
     SELECT s, any_value(w) AS w, min(row(doc_id IS NULL, doc_id, doc, pos)) AS f FROM occ GROUP BY s
 ), cut AS (
     SELECT s, f, k, array_to_string(list_concat(w[1:k - 1], w[k + 1:]), ' ') AS v
-    FROM (SELECT s, w, f, unnest(range(1, len(w) + 1)) AS k FROM firsts)
+    FROM (SELECT s, w, f, unnest(range(1, len(w) + 1)) AS k FROM firsts WHERE len(w) >= 8)
 ), near AS (
     SELECT s FROM (SELECT s, f, min(f) OVER (PARTITION BY v, k) AS g FROM cut) WHERE g < f
-    UNION SELECT CASE WHEN cut.f < firsts.f THEN firsts.s ELSE cut.s END FROM cut JOIN firsts ON cut.v = firsts.s
+    UNION SELECT CASE WHEN cut.f < firsts.f THEN firsts.s ELSE cut.s END FROM cut JOIN firsts ON cut.v = firsts.s AND len(firsts.w) >= 8
 ), gone AS (
     SELECT doc_id, doc, count(DISTINCT pos) AS n
     FROM occ JOIN firsts USING (s)
