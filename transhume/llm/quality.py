@@ -243,7 +243,7 @@ def fit_quality(
     The sample are the labelled documents whose id has the smallest hash; below the bound it
     holds all of them. Rows with a null id or label are left out; an id with several labels
     takes the most frequent, the smaller of equally frequent ones; an id with several texts
-    brings each. Without both labels every text gets one score.
+    brings each, and of rows beyond the bound those whose features have the smallest hash count. Without both labels every text gets one score.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.mode(F.col(label_col), True).alias("label"))
@@ -252,7 +252,7 @@ def fit_quality(
     present = rows.select("id").distinct().join(known, "id")
     chosen = present.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(sample)
     picked = rows.join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(_labelled, "label int, x array<double>")
-    got = picked.orderBy(F.xxhash64("x"), "label").limit(4 * sample).toArrow()
+    got = picked.orderBy(F.xxhash64("x"), "label").limit(sample).toArrow()
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     return fit_additive(x, got.column("label").to_numpy() > 0, **how)
 
