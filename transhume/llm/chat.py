@@ -20,6 +20,9 @@ from transhume.llm.text import runs, run_starts
 #: Bytes of contents that are scattered at a time.
 CHUNK = 2_000_000
 
+#: Bytes of formatted texts that are handed over at a time, and conversations.
+HANDED, STEP = 1 << 28, 256
+
 
 @dataclass(frozen=True)
 class Template:
@@ -118,7 +121,8 @@ def _format(template: Template, learned: str, id_type: pa.DataType, batches: Ite
     span = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
     marks = [len(m) for m in (template.before, template.between, template.after)]
     for rows in runs(batches, ["conv_id"]):
-        plain = [rows.column(c).combine_chunks() for c in ("role", "text")]
+        # Whole batches of texts may pass the 2 GiB that offsets of 32 bits reach.
+        plain = [pa.concat_arrays(rows.column(c).cast(pa.large_string()).chunks) for c in ("role", "text")]
         roles, texts = (template.escape(c.fill_null("")) for c in plain)
         data, starts = assemble(template, roles, texts)
         firsts = run_starts(rows, ["conv_id"])
@@ -135,14 +139,15 @@ def _format(template: Template, learned: str, id_type: pa.DataType, batches: Ite
         cuts = np.searchsorted(chosen, np.concatenate([firsts, [rows.num_rows]]))
         formatted = pa.Array.from_buffers(pa.large_string(), len(firsts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
         ids = rows.column("conv_id").combine_chunks().take(pa.array(firsts))
-        step = 256
-        for a in range(0, len(firsts), step):
-            n = min(step, len(firsts) - a)
+        a = 0
+        while a < len(firsts):
+            n = min(STEP, max(1, int(np.searchsorted(bounds, bounds[a] + HANDED, side="right")) - 1 - a), len(firsts) - a)
             lists = pa.ListArray.from_arrays(pa.array(cuts[a : a + n + 1].astype(np.int32)), spans)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, n).cast(id_type), pa.array(turns[a : a + n], pa.int64()), formatted.slice(a, n).cast(pa.string()), lists],
                 names=["conv_id", "n_turns", "formatted", "loss_spans"],
             )
+            a += n
 
 
 def format_chats(
