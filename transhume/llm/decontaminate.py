@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from transhume.session import stage
+
 WINDOW = 10
 
+#: Blocks that are looked for in one stage; each is a Python worker of a task.
+TOGETHER = 2
+
 #: Words of items in one broadcast block; a larger benchmark is looked for block after block.
 BLOCK_WORDS = 1_000_000
 
@@ -158,19 +163,28 @@ def find_items(
     is named by the empty text; items that repeat count once by id. An empty benchmark hits
     nothing.
 
-    The windows are broadcast in blocks of ``block_words`` words, a fixed bound. A larger
-    benchmark makes a chain of passes over the same partitions: no shuffle, and documents are
-    read once.
+    The windows are broadcast in blocks of ``block_words`` words, a fixed bound, of which ``TOGETHER`` are
+    held at a time. A larger benchmark makes a chain of passes over the same partitions without a shuffle; after
+    each pass but the last the documents and their hits so far are stored, and its blocks are let go.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("_row"), F.col(text_col).alias("_text"))
     kinds = T.StructType([*rows.schema, *_STATE])
     context = docs.sparkSession.sparkContext
-    held = [context.broadcast(b) for b in blocks(benchmark, item_col, item_text_col, window, block_words)]
-    held = held or [context.broadcast(Block([], window))]
-    for k, block in enumerate(held[:-1]):
-        rows = rows.mapInArrow(partial(_scan, block, k == 0), kinds)
+    source = blocks(benchmark, item_col, item_text_col, window, block_words)
+    group, first = list(islice(source, TOGETHER)) or [Block([], window)], True
+    while True:
+        held = [context.broadcast(b) for b in group]
+        group = list(islice(source, TOGETHER))
+        for block in held if group else held[:-1]:
+            rows = rows.mapInArrow(partial(_scan, block, first), kinds)
+            first = False
+        if not group:
+            break
+        rows = stage(rows, "decontaminate")
+        for block in held:
+            block.destroy()
     made = [rows.schema["_row"], T.StructField("clean", T.StringType()), _COUNT, T.StructField("n_hit", T.LongType()), _ITEMS]
-    return rows.mapInArrow(partial(_report, held[-1], len(held) == 1), T.StructType(made))
+    return rows.mapInArrow(partial(_report, held[-1], first), T.StructType(made))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "documents", text_col: str = "text", **how) -> DataFrame:
