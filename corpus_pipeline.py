@@ -8,7 +8,7 @@ the docstrings of the operators say. An empty result of a stage goes through all
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transhume.llm import decontaminate, lines, packing, quality, simhash
@@ -16,20 +16,32 @@ from transhume.llm.queries import GOOD, TOKENIZER, held_out, table
 from transhume.session import stage
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A name that no column has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts."""
     labels = table(spark, sf_dir, "labels").where(~held_out())
     model = quality.fit_quality(docs.where(~held_out()), labels)
-    scored = quality.score_quality(docs, model, score_col="_score")
-    return scored.where(F.col("_score") >= GOOD).select(*docs.columns)
+    score = free_name(docs, "_score")
+    return quality.score_quality(docs, model, score_col=score).where(F.col(score) >= GOOD).select(*columns_of(docs))
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier line repeats; those of which nothing is left go."""
-    cut = lines.dedup_lines(docs, cut_col="_cut").drop("_cut")
+    cut = lines.dedup_lines(docs, cut_col=free_name(docs, "_cut"))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return cut.select(*columns_of(docs))
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +67,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: A fitted model, shingle similarities and tokens are beyond SQL; see tests/llm/test_queries.py.
+#: A fitted model, shingle similarities and tokens are beyond SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
