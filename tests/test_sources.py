@@ -344,3 +344,39 @@ def test_a_file_with_other_line_ends_is_cut_in_many_tasks(spark, tmp_path):
         assert sorted(map(tuple, got.collect())) == sorted(rows)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+# -- whole scans -----------------------------------------------------------------------
+
+
+def test_a_checked_scan_parses_cells_that_nobody_reads(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,n,day\n1,2,2020-01-01\n3,x,2020-01-02\n")
+    schema = "id int, n int, day date"
+    assert tables.read_csv(spark, str(tmp_path / "t.csv"), schema).select("id").count() == 2
+    checked = tables.read_csv(spark, str(tmp_path / "t.csv"), schema, checked=True)
+    for look in (checked.count, checked.select("id").collect, checked.where("id = 1").collect):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            look()
+    (tmp_path / "t.csv").write_text("id,n,day\n1,2,2020-01-01\n3,,\n")
+    good = tables.read_csv(spark, str(tmp_path / "t.csv"), schema, checked=True)
+    assert good.count() == 2 and [r.id for r in good.select("id").collect()] == [1, 3]
+
+
+def test_tolerated_cells_are_counted_by_column(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,n,day\n1,x,2020-01-01\ny,2,nope\n3,,\n4,"a ""b"", c",2020-01-02\n5,6\n')
+    rows = tables.read_csv(spark, str(tmp_path), "id int, n int, day date", mode=tables.TOLERANT, corrupt_column="_raw")
+    assert dict(tables.tolerated_cells(rows, "_raw").collect()) == {"id": 1, "n": 2, "day": 1}
+    assert rows.count() == 5
+
+
+def test_files_of_other_headers_meet_by_name(spark, tmp_path):
+    for k, text in enumerate(("a,b\n1,x\n2,y\n", "b,a\r\nz,3\r\n", "a\n4\n", "a,b,c\n5,w,q\n", "a,b\n")):
+        (tmp_path / f"{k}.csv").write_bytes(text.encode())
+    assert sorted(len(g) for g in tables.files_by_header(spark, str(tmp_path))) == [1, 1, 1, 2]
+    got = tables.read_csv_folder(spark, str(tmp_path), "a int, b string, c string", position=True).select("a", "b", "c")
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "x", None), (2, "y", None), (3, "z", None), (4, None, None), (5, "w", "q")]
+
+
+def test_report_of_a_dump(spark, dump_path):
+    got = {r.table: r.asDict() for r in dump.load_report(dump.read_statements(spark, dump_path)).collect()}
+    assert {k: (v["columns"], v["rows"], v["too_wide"], v["rejected"]) for k, v in got.items()} == {"notes": (3, 10, 1, 1), "loose": (None, 2, 0, 0)}

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transhume.operators import audit, dedup, lookup
+from transhume.operators import audit, conform, dedup, lookup
+from transhume.plans import everything
+from transhume.queries.inputs import derived
 from transhume.queries.registry import query, table
+from transhume.rulebook import AccountRules
 from transhume.session import stage_path
 from transhume.sources import dump, tables
 
@@ -233,3 +238,85 @@ def publish_and_count(spark, sf_dir):
     back = sink(counts.watch(nations, "written"), "nation")
     n = counts.taken()["written"]
     return back.agg(F.countDistinct("n_regionkey").alias("regions")).select(F.lit("written").alias("step"), F.lit(n).cast("long").alias("n"), "regions")
+
+
+@query(
+    """SELECT 'o_custkey' AS "column", count(*) FILTER (o_orderkey % 7 = 0) AS cells FROM orders
+       UNION ALL SELECT 'o_orderdate', count(*) FILTER (o_orderkey % 5 = 0) FROM orders
+       UNION ALL SELECT 'o_orderkey', 0 UNION ALL SELECT 'o_orderpriority', 0"""
+)
+def tolerated_cells(spark, sf_dir):
+    """Cells of the wrong type per column of a scan that tolerates them; empty and missing cells are none."""
+    key = F.col("o_orderkey")
+    spoiled = F.when(key % 7 == 0, "n/a").when(key % 7 == 1, None).otherwise(F.col("o_custkey").cast("string"))
+    day = F.when(key % 5 == 0, 'on "a", day').otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path = stage_path(spark, "spoiled_csv")
+    tables.write_csv(table(spark, sf_dir, "orders").select("o_orderkey", spoiled.alias("o_custkey"), day.alias("o_orderdate"), "o_orderpriority"), path)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_orderpriority string"
+    return tables.tolerated_cells(tables.read_csv(spark, path, schema, mode=tables.TOLERANT, corrupt_column="_bad"), "_bad")
+
+
+@query("SELECT count(*) AS n, sum(o_custkey)::BIGINT AS total FROM orders")
+def checked_scan(spark, sf_dir):
+    """A strict scan that parses every cell, whatever is asked of it."""
+    path = stage_path(spark, "orders_csv")
+    tables.write_csv(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), path)
+    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+    back = tables.read_csv(spark, path, schema, checked=True)
+    return back.agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("total"))
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 2 THEN c_name END AS c_name, CASE WHEN c_custkey % 3 <> 1 THEN c_acctbal END AS c_acctbal
+       FROM customer"""
+)
+def csv_many_headers(spark, sf_dir):
+    """A folder of CSV files with three headers: other order, and columns that some lack."""
+    rows, path = table(spark, sf_dir, "customer"), stage_path(spark, "customer_csv")
+    for k, columns in enumerate((["c_custkey", "c_name", "c_acctbal"], ["c_name", "c_custkey"], ["c_acctbal", "c_custkey"])):
+        rows.where(F.col("c_custkey") % 3 == k).select(*columns).write.mode("append").option("header", "true").csv(path)
+    return tables.read_csv_folder(spark, path, "c_custkey bigint, c_name string, c_acctbal double").select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("SELECT s_name, s_suppkey FROM supplier")
+def column_list(spark, sf_dir):
+    """The columns that a JSON file lists, in its order; a name that the table lacks is passed over."""
+    rows, path = table(spark, sf_dir, "supplier"), stage_path(spark, "columns_json")
+    listed = F.to_json(F.struct(F.array(F.lit("s_name"), F.lit("no_such_column"), F.lit("s_suppkey")).alias("columns")))
+    spark.range(1).select(listed.alias("value")).coalesce(1).write.text(path)
+    return conform.select_available(rows, tables.read_column_list(spark, path))
+
+
+@query(
+    """SELECT 'supplier' AS "table", 4 AS columns, count(*) AS "rows", count(*) FILTER (s_suppkey % 4 = 0) AS too_wide,
+              count(*) FILTER (s_suppkey % 10 = 0) AS rejected
+       FROM supplier"""
+)
+def dump_report(spark, sf_dir):
+    """What a load of a spoiled dump would find: rows, rows that are too wide, statements that are cut off."""
+    rows, path = table(spark, sf_dir, "supplier"), stage_path(spark, "spoiled_dump")
+    key = F.col("s_suppkey")
+    values = F.concat_ws(",", key.cast("string"), _literal(F.col("s_name"), True), F.col("s_nationkey").cast("string"), F.col("s_acctbal").cast("string"))
+    insert = F.concat(F.lit("INSERT INTO supplier VALUES ("), values, F.when(key % 4 == 0, ",'more')").otherwise(")"))
+    cut = F.concat(F.lit("INSERT INTO supplier VALUES ("), values, F.lit(",("))
+    each = rows.select(F.explode(F.when(key % 10 == 0, F.array(insert, cut)).otherwise(F.array(insert))).alias("value"))
+    each.write.option("lineSep", ";\n").text(path)
+    create = "CREATE TABLE supplier (s_suppkey bigint, s_name text, s_nationkey int, s_acctbal double)"
+    spark.range(1).select(F.lit(create).alias("value")).write.option("lineSep", ";\n").mode("append").text(path)
+    return dump.load_report(_dump_statements(spark, path))
+
+
+@query(
+    """SELECT 'default_settings' AS "table", false AS ok, 'needs default_settings' AS error, 0 AS n FROM region WHERE r_regionkey = 0
+       UNION ALL SELECT 'users', true, NULL, count(*) FROM customer"""
+)
+def outcomes_of_absent_sources(spark, sf_dir):
+    """An export without its source is left out and says so; the others are made."""
+    users = derived(spark, sf_dir, "users")
+    folder = stage_path(spark, "some_exports")
+    _, outcomes = everything.run_all(
+        {"users": users}, AccountRules("demo\\Acme"), "nobody@example.com", [], tables.parquet_sink(folder), dt.datetime(2024, 7, 1),
+        only=["users", "default_settings"],
+    )
+    lines = [(o.name, o.ok, o.error, o.counts["written"] if o.ok else 0) for o in outcomes]
+    return spark.createDataFrame(lines, "`table` string, ok boolean, error string, n long")

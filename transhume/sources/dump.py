@@ -306,3 +306,22 @@ def dump_summary(statements: DataFrame) -> DataFrame:
             F.array_join("columns", ", ").alias("column_names"),
         )
     )
+
+
+def load_report(statements: DataFrame) -> DataFrame:
+    """Per table what a load would find: ``table columns rows too_wide rejected``; rejects of no table are under null.
+
+    ``rows`` are those of the statements that are wholly understood, ``too_wide`` those of them with more values than
+    columns. Nothing is brought to the driver.
+    """
+    defined = table_columns(statements).select("table", F.size("columns").alias("room"))
+    rows = insert_rows(statements).select("table", F.size("literals").alias("width"), F.size("listed").alias("listed"))
+    widths = rows.groupBy("table", "width", "listed").agg(F.count(F.lit(1)).alias("n")).join(defined, "table", "left")
+    room = F.when(F.col("listed") > 0, F.col("listed")).otherwise(F.col("room"))
+    counted = widths.groupBy("table").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("width") > room, F.col("n"))).alias("too_wide"))
+    bad = rejected(statements).groupBy(F.col("table").alias("_bad")).agg(F.count(F.lit(1)).alias("rejected"))
+    known = defined.join(counted, "table", "full")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return known.join(bad, F.col("table").eqNullSafe(F.col("_bad")), "full").select(
+        F.coalesce("table", "_bad").alias("table"), F.col("room").alias("columns"), zero("rows"), zero("too_wide"), zero("rejected")
+    )

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +41,38 @@ def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def csv_columns(spark: SparkSession, path: str) -> list[str]:
+def csv_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names in the header of the first file."""
     return spark.read.options(**_CSV).csv(path).columns
 
 
+def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a folder, those of an equal header together.
+
+    One pass over the lines, of which each task keeps the first of its files; the names of the files, which a
+    scan needs on the driver as well, are all that is brought there.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")
+    )
+    first = lines.groupBy("file").agg(F.min_by(F.rtrim("value", F.lit("\r")), "at").alias("header"))
+    groups = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return sorted(r.files for r in groups.collect())
+
+
+def read_csv_folder(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **csv) -> DataFrame:
+    """A CSV table whose files differ in their headers: one scan a header, put together by column name.
+
+    A column that a file lacks is null in its rows. Options are those of ``read_csv``. Costs a pass
+    over the lines before the scan.
+    """
+    whole: DataFrame | None = None
+    for files in files_by_header(spark, path):
+        part = read_csv(spark, files, schema, **csv)
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return read_csv(spark, path, schema, **csv) if whole is None else whole
+
+
 def with_position(df: DataFrame, name: str = POSITION) -> DataFrame:
     """Add the position of each row; apply it straight to a scan of files."""
     return df.withColumn(
@@ -60,13 +87,14 @@ def with_position(df: DataFrame, name: str = POSITION) -> DataFrame:
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | str | None = None,
     overrides: dict[str, str] | None = None,
     mode: str = STRICT,
     corrupt_column: str | None = None,
     multiline: bool = False,
     position: bool = False,
+    checked: bool = False,
 ) -> DataFrame:
     """Scan a CSV table.
 
@@ -75,7 +103,9 @@ def read_csv(
     single types. ``mode`` STRICT fails on a cell of the wrong type, TOLERANT makes
     the cell null and keeps the row; ``corrupt_column`` then holds the raw line of
     such rows. ``multiline`` reads line breaks inside quotes, at the price that a
-    file is no longer split between tasks. ``position`` adds the column ``POSITION``. Without a schema the types are inferred,
+    file is no longer split between tasks. ``position`` adds the column ``POSITION``. A scan parses
+    the columns that are asked for; ``checked`` makes it parse all, so that in STRICT mode a cell of the wrong type raises
+    wherever it stands, also for a count. Without a schema the types are inferred,
     which costs another pass over the data.
     """
     reader = spark.read.options(**_CSV).options(mode=mode, multiLine=multiline, enforceSchema=False)
@@ -92,7 +122,37 @@ def read_csv(
         fields.append(T.StructField(corrupt_column, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     rows = reader.schema(T.StructType(fields)).csv(path)
-    return with_position(rows) if position else rows
+    rows = with_position(rows) if position else rows
+    if checked:
+        # Always true, but not to be told without every cell, nor after a filter that leaves rows out.
+        cells = F.xxhash64(*[_column(f.name) for f in fields]).bitwiseOR(F.lit(1)) != 0
+        rows = rows.filter(cells & (F.monotonically_increasing_id() >= 0))
+    return rows
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def bad_cells(rows: DataFrame, corrupt_column: str) -> dict[str, Column]:
+    """For each column of a TOLERANT scan whether a row's cell was there and of the wrong type.
+
+    Only the raw lines that the scan kept in ``corrupt_column`` are read once more, as text.
+    """
+    names = [f.name for f in rows.schema if f.name not in (corrupt_column, POSITION)]
+    texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    options = {k: v for k, v in _CSV.items() if k != "header"}
+    cells = F.from_csv(_column(corrupt_column), texts.simpleString()[7:-1].replace(":", " ").replace(",", ", "), options)
+    raw = _column(corrupt_column)
+    return {n: raw.isNotNull() & cells[f"c{i}"].isNotNull() & (cells[f"c{i}"] != "") & _column(n).isNull() for i, n in enumerate(names)}
+
+
+def tolerated_cells(rows: DataFrame, corrupt_column: str) -> DataFrame:
+    """Cells of the wrong type that a TOLERANT scan made null: ``column`` and ``cells``, in one pass."""
+    found = bad_cells(rows, corrupt_column)
+    counts = rows.agg(*[F.count(F.when(bad, F.lit(1))).alias(f"n{i}") for i, bad in enumerate(found.values())])
+    pairs = [F.struct(F.lit(n).alias("column"), F.col(f"n{i}").alias("cells")) for i, n in enumerate(found)]
+    return counts.select(F.inline(F.array(*pairs)))
 
 
 def read_table(
