@@ -12,10 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transhume.functions.keys import wide_key
 from transhume.functions.text import text_of
-from transhume.session import stage
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
@@ -83,7 +83,7 @@ def lookup(
     column = F.col(on) if isinstance(on, str) else on
     keyed = text_of(column) if text else column
     how = "inner" if inner else "left"
-    hot = hot_keys(hot_in, keyed, hot_rows) if salt_hot is not None and hot_in is not None else None
+    hot = hot_keys(hot_in, keyed, hot_rows, nulls=True) if salt_hot is not None and hot_in is not None else None
     replaced = [n for n in take if n in df.columns]
     if replaced:
         df, keyed = df.withColumn("__key", keyed).drop(*replaced), F.col("__key")
@@ -221,18 +221,25 @@ def with_template(df: DataFrame, template: DataFrame, columns: Sequence[str], or
     return held.select(*df.columns, *[F.col("__t").getField(c).alias(c) for c in columns])
 
 
-def hot_keys(df: DataFrame, key: str | Column, rows_per_task: int = HOT_ROWS, most: int = MOST_HOT) -> DataFrame:
+def hot_keys(
+    df: DataFrame, key: str | Column, rows_per_task: int = HOT_ROWS, most: int = MOST_HOT, nulls: bool = False
+) -> DataFrame:
     """Keys with more rows than one task should take, and the tasks to spread each over.
 
     The ``most`` most frequent of them, which bounds what is broadcast; the run-time split of
-    skewed partitions is left for keys beyond, at any size of the table.
+    skewed partitions is left for keys beyond, at any size of the table. ``nulls``: the missing key counts, too.
     """
-    named = df.select((F.col(key) if isinstance(key, str) else key).alias(_KEY)).filter(F.col(_KEY).isNotNull())
+    named = df.select((F.col(key) if isinstance(key, str) else key).alias(_KEY))
+    named = named if nulls else named.filter(F.col(_KEY).isNotNull())
     counts = named.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
     first = counts.orderBy(F.desc("__n"), _KEY).limit(most)
     return first.select(_KEY, F.ceil(F.col("__n") / rows_per_task).cast("int").alias(_SALTS))
 
 
+# Hot keys that a plan holds as a constant; a longer list is joined.
+_AS_CONSTANT = 200
+
+
 def salted_join(
     df: DataFrame,
     table: DataFrame,
@@ -246,22 +253,36 @@ def salted_join(
 
     Rows of a hot key carry a salt taken from ``spread_by``, and the table's row for that
     key is repeated once per salt; the more rows a key has, the more salts. Rows without
-    a key match nothing and are spread at will. All other keys are joined as they are.
-    Only the short list of hot keys is broadcast. It is counted once, by a job of its own,
-    and stored, so that neither side of the join nor a later lookup repeats the plan of
-    ``df``. ``hot`` is a list that was counted before, on a narrower table.
+    a key match nothing and are spread at will where they are many. All other keys are joined as they are, and
+    without a hot key the join is a plain one. The short list of hot keys is counted once, by a job of its own,
+    and brought to the driver, so that neither side of the join repeats the plan of ``df``; ``MOST_HOT`` bounds it.
+    ``hot`` is a list to be counted on a narrower table.
     """
-    hot = stage(hot_keys(df, on, rows_per_task) if hot is None else hot, "hot_keys").select(F.col(_KEY).alias("__hot"), _SALTS)
-    spread = F.xxhash64(spread_by)
-    salt = (
-        F.when(F.col(on).isNull(), F.pmod(spread, F.lit(2**31 - 1)))
-        .when(F.col(_SALTS).isNotNull(), F.pmod(spread, F.col(_SALTS)))
-        .otherwise(F.lit(0))
-    )
-    left = df.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left").withColumn(_SALT, salt.cast("int"))
+    found = (hot_keys(df, on, rows_per_task, nulls=True) if hot is None else hot).collect()
+    if not found:
+        return df.join(table, F.col(on) == F.col(_KEY), how).drop(_KEY)
+    spread, kind = F.xxhash64(spread_by), df.schema[on].dataType
+    known = [(r[_KEY], r[_SALTS]) for r in found if r[_KEY] is not None]
+    if len(known) <= _AS_CONSTANT:
+        salts_of = {key: _constant(known, F.col(key), kind) for key in (on, _KEY)}
+        left, right = df.withColumn(_SALTS, salts_of[on]), table.withColumn(_SALTS, salts_of[_KEY])
+    else:
+        schema = T.StructType([T.StructField("__hot", kind), T.StructField(_SALTS, T.IntegerType())])
+        listed = F.broadcast(df.sparkSession.createDataFrame(known, schema))
+        left = df.join(listed, F.col(on) == F.col("__hot"), "left").drop("__hot")
+        right = table.join(listed, F.col(_KEY) == F.col("__hot"), "left").drop("__hot")
+    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(spread, F.col(_SALTS))).otherwise(F.lit(0))
+    if len(known) < len(found):
+        salt = F.when(F.col(on).isNull(), F.pmod(spread, F.lit(2**31 - 1))).otherwise(salt)
     copies = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS) - 1, F.lit(0)))
-    right = table.join(F.broadcast(hot), F.col(_KEY) == F.col("__hot"), "left").withColumn("__copy", F.explode(copies))
-    joined = left.drop("__hot", _SALTS).join(
-        right.drop("__hot", _SALTS), (F.col(on) == F.col(_KEY)) & (F.col(_SALT) == F.col("__copy")), how
-    )
-    return joined.drop(_KEY, _SALT, "__copy")
+    left = left.withColumn(_SALT, salt.cast("int")).drop(_SALTS)
+    right = right.withColumn("__copy", F.explode(copies)).drop(_SALTS)
+    return left.join(right, (F.col(on) == F.col(_KEY)) & (F.col(_SALT) == F.col("__copy")), how).drop(_KEY, _SALT, "__copy")
+
+
+def _constant(known: list[tuple], key: Column, kind: T.DataType) -> Column:
+    """The salts of a key that is hot, else null."""
+    if not known:
+        return F.lit(None).cast("int")
+    pairs = [c for k, n in known for c in (F.lit(k).cast(kind), F.lit(n))]
+    return F.try_element_at(F.create_map(*pairs), key)

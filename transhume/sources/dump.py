@@ -107,16 +107,25 @@ def _once(statements: DataFrame, code: Column) -> DataFrame:
     return statements.select(F.explode(code).alias("statement"), *others).filter(F.col("statement") != "")
 
 
+def _commented(text: Column) -> Column:
+    """Whether a statement may begin with a comment or a blank; a pattern would look for its start at every place."""
+    return F.left(text, F.lit(1)).isin(" ", "\t", "\n", "\r", "\x0b", "\f", ";", "-", "#", "/")
+
+
 def _without_comments(text: Column) -> Column:
     """A statement from its first word to its last; one in an executable comment is taken out of it."""
     bare = F.regexp_replace(F.regexp_replace(text, _COMMENTS, ""), _EXECUTABLE, "$1")
-    return F.rtrim(bare, F.lit("; \t\r\n\x0b\f"))
+    bare = F.when(_commented(text), bare).otherwise(text)
+    ends = F.lit(False)
+    for c in (*"; \t\r\n\x0b\f", "*/"):
+        ends |= F.endswith(text, F.lit(c))
+    return F.when(ends, F.rtrim(bare, F.lit("; \t\r\n\x0b\f"))).otherwise(bare)
 
 
 def _code(statements: DataFrame) -> DataFrame:
     """The statements as code, whether or not comments were taken off before."""
-    commented = F.col("statement").rlike(r"\A(?:\s|--|#|/\*)")
-    return _once(statements, F.array(F.when(commented, _without_comments(F.col("statement"))).otherwise(F.col("statement"))))
+    text = F.col("statement")
+    return _once(statements, F.array(F.when(_commented(text), _without_comments(text)).otherwise(text)))
 
 
 def _unquoted(name: Column) -> Column:
@@ -158,7 +167,7 @@ def inserts(statements: DataFrame) -> DataFrame:
         _unquoted(F.regexp_extract("statement", _INSERT_HEAD, 1)).alias("table"),
         "file",
         *place,
-        F.regexp_replace("statement", _INSERT_HEAD, "").alias("body"),
+        F.col("statement").substr(F.length(F.regexp_extract("statement", _INSERT_HEAD, 0)) + 1, F.lit(2**31 - 1)).alias("body"),
         F.when(F.size(listed) > 0, F.transform(listed, _unquoted)).alias("listed"),
     )
 
