@@ -20,6 +20,9 @@ BITS = 64
 #: Fingerprints of one block of a shard; a larger shard is searched block against block.
 BLOCK = 512
 
+#: Nodes of a shard from which it is split by further bits.
+LARGE = 8 * BLOCK
+
 
 # --- fingerprints -----------------------------------------------------------------
 
@@ -106,33 +109,58 @@ class Groups:
 # --- shards -----------------------------------------------------------------------
 
 
-def block_keys(fp: Column, radius: int, blocks: int) -> Column:
-    """Shard keys that two fingerprints within the radius share at least one of.
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
+def _masks(bits: list[int], radius: int, blocks: int) -> list[int]:
+    """Masks of which two numbers that differ in at most ``radius`` of these bits agree on at least one.
 
     The bits are cut into ``blocks`` blocks; ``radius`` differing bits spoil at most as
     many blocks, so some ``blocks - radius`` blocks are equal. Every choice of so many
-    blocks is a key.
+    blocks is a mask.
     """
     if blocks <= radius:
         raise ValueError("more blocks than differing bits are needed")
-    bounds = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    masks = [sum(1 << b for b in range(bounds[i], bounds[i + 1])) for i in range(blocks)]
-    keys = []
-    for chosen in combinations(range(blocks), blocks - radius):
-        mask = sum(masks[i] for i in chosen)
-        signed = mask - (1 << BITS) if mask >> (BITS - 1) else mask
-        keys.append(fp.bitwiseAND(F.lit(signed)))
-    return F.array(*keys)
+    bounds = [round(i * len(bits) / blocks) for i in range(blocks + 1)]
+    own = [sum(1 << b for b in bits[bounds[i] : bounds[i + 1]]) for i in range(blocks)]
+    return [sum(own[i] for i in chosen) for chosen in combinations(range(blocks), blocks - radius)]
+
+
+def block_keys(fp: Column, radius: int, blocks: int) -> Column:
+    """Shard keys that two fingerprints within the radius share at least one of (see ``_masks``)."""
+    return F.array(*[fp.bitwiseAND(F.lit(_signed(m))) for m in _masks(list(range(BITS)), radius, blocks)])
+
+
+def finer_masks(radius: int, blocks: int) -> list[list[int]]:
+    """For each shard key of ``block_keys`` the masks by which a large shard is split: its own bits and some of the others."""
+    out = []
+    for mask in _masks(list(range(BITS)), radius, blocks):
+        others = [b for b in range(BITS) if not mask >> b & 1]
+        out.append([_signed(mask | m) for m in _masks(others, radius, 2 * radius)] if radius else [_signed(mask)])
+    return out
 
 
-def shards(nodes: DataFrame, keys: str) -> DataFrame:
+def shards(nodes: DataFrame, keys: str, finer: list[list[int]] | None = None) -> DataFrame:
     """Rows of every shard with two or more nodes, with the cells in which they meet.
 
     A cell is a pair of blocks ``i <= j`` of a shard; a block has about ``BLOCK`` nodes,
     so that no task holds a whole frequent shard. Adds ``band``, ``key``, ``i``, ``j`` and
-    ``left``/``right`` (the node belongs to block i, to block j).
+    ``left``/``right`` (the node belongs to block i, to block j). With ``finer`` (masks of ``fp`` for every
+    band) a shard of more than ``LARGE`` nodes is split by further equal bits first, which loses no pair, so
+    that its rows grow with its nodes and not with their square.
     """
     keyed = nodes.select("*", F.posexplode(keys).alias("band", "key"))
+    if finer is not None:
+        large = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where(F.col("n") > LARGE)
+        keyed = keyed.join(large.select("band", "key", F.lit(True).alias("large")), ["band", "key"], "left")
+        masks = F.element_at(F.lit(finer), F.col("band") + 1)
+        split = F.transform(masks, lambda m: F.col("fp").bitwiseAND(m))
+        own = F.when(F.col("large"), split).otherwise(F.array("key"))
+        names = [c for c in nodes.columns]
+        parts = keyed.select(*names, "band", "large", F.posexplode(own).alias("part", "key"))
+        band = F.when(F.col("large"), len(finer) + F.col("band") * len(finer[0]) + F.col("part")).otherwise(F.col("band"))
+        keyed = parts.select(*names, band.cast("int").alias("band"), "key")
     sizes = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     cut = sizes.select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     placed = keyed.join(cut, ["band", "key"]).withColumn(
@@ -219,7 +247,7 @@ def fingerprint_components(
     rows = stage(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     wanted = nodes.select(F.col("fp").alias("node"), "fp", block_keys(F.col("fp"), radius, blocks).alias("keys"))
-    met = by_cell(shards(wanted, "keys").drop("keys"))
+    met = by_cell(shards(wanted, "keys", finer_masks(radius, blocks)).drop("keys"))
     linked = components(met.mapInArrow(partial(_link_cells, radius), "a long, b long"))
     labelled = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
