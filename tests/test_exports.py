@@ -228,8 +228,28 @@ def test_accounts_from_the_account_table_alone(spark):
 
 
 def test_repeated_group_combinations_are_refused(spark, groups, keys):
-    with pytest.raises(ValueError, match="repeated"):
-        build_accounts(spark, groups.union(groups), keys)
+    with pytest.raises(FAILURE, match="repeated keys"):
+        build_accounts(spark, groups.union(groups), keys).collect()
+
+
+def test_building_the_accounts_starts_no_job(spark, groups, keys):
+    spark.sparkContext.setJobGroup("building", "no job is expected")
+    try:
+        built = build_accounts(spark, groups, keys)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+        assert built.count() > 0
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) != []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_zero_dates_pass_through_as_text(spark, tmp_path):
+    """A column that is carried as it is may be read as text, zero dates included."""
+    rows = given.users(spark).limit(2)
+    path = str(tmp_path / "users")
+    tables.write_csv(rows.withColumn("created_at", F.lit("0000-00-00 00:00:00")), path)
+    back = tables.read_csv(spark, path, rows.schema, overrides={"created_at": "string"}, checked=True)
+    assert {r.created_at for r in people.export_users(back).collect()} == {"0000-00-00 00:00:00"}
 
 
 def test_account_stats(spark, accounts):

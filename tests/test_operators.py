@@ -352,6 +352,11 @@ def test_composite_join_and_uniqueness(spark):
     assert lookup.require_unique(dim, ["x", "y"]) is dim
     with pytest.raises(ValueError, match="repeated"):
         lookup.require_unique(dim.union(dim), ["x", "y"])
+    taken = {"u": "uuid"}
+    assert [r.id for r in lookup.composite_join(df, dim, ["x", "y"], taken, unique=True).collect()] == [1]
+    twice = lookup.composite_join(df, dim.union(dim), ["x", "y"], taken, unique=True)
+    with pytest.raises(Exception, match="repeated keys"):
+        twice.collect()
 
 
 def test_scalar_and_template(spark):

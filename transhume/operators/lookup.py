@@ -149,10 +149,31 @@ def lookup_two_hop(
     )
 
 
-def composite_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], take: dict[str, str]) -> DataFrame:
-    """Inner join on several columns."""
+def composite_join(
+    df: DataFrame, dim: DataFrame, keys: Sequence[str], take: dict[str, str], unique: bool = False
+) -> DataFrame:
+    """Inner join on several columns.
+
+    ``unique``: a combination that stands on several rows of ``dim`` is an error. It is found by the job that
+    joins, on the side of ``dim``, so planning the join starts no job.
+    """
     right = dim.select(*keys, *[F.col(v).alias(n) for n, v in take.items()])
-    return df.join(right, list(keys), "inner")
+    return df.join(checked_unique(right, keys) if unique else right, list(keys), "inner")
+
+
+def checked_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a table, with an error as soon as a combination of keys without a null is met twice.
+
+    Rows are summed up by key within tasks first, so a key of many rows is one row a task.
+    """
+    others = [c for c in dim.columns if c not in keys]
+    counted = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(0).alias("__"), *others)).alias("__row"))
+    known = F.lit(True)
+    for k in keys:
+        known &= F.col(k).isNotNull()
+    shown = F.concat(F.lit("repeated keys: "), F.to_json(F.struct(*keys)))
+    alone = F.when(known & (F.col("__n") > 1), F.raise_error(shown).cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(alone).select(*[c if c in keys else F.col("__row")[c].alias(c) for c in dim.columns])
 
 
 def repeated_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:

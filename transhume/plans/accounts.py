@@ -93,14 +93,13 @@ def with_group_uuid(accounts: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Uuid of the group with the account's platform, stage, type and balance.
 
     Accounts without such a group go. The groups' combinations must be unique, because
-    a repeated one would repeat accounts.
+    a repeated one would repeat accounts; the join raises where one is not.
     """
     if groups is None:
         return accounts.withColumn("platform_group_uuid", F.lit(None).cast("string"))
     combos = groups.withColumn("initial_balance", F.col("initial_balance").cast("long"))
-    lookup.require_unique(combos, GROUP_KEYS)
     df = accounts.withColumn("initial_balance", F.col("initial_balance").cast("long"))
-    return lookup.composite_join(df, combos, GROUP_KEYS, {"platform_group_uuid": "uuid"})
+    return lookup.composite_join(df, combos, GROUP_KEYS, {"platform_group_uuid": "uuid"}, unique=True)
 
 
 def export_platform_accounts(
