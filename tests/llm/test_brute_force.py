@@ -134,6 +134,14 @@ def test_shards_hold_every_document_once(spark, sf):
         group.setdefault(data[r.doc_id], set()).add(r.shard)
     assert all(sorted(s) == list(range(len(s))) for s in slots)
     assert size.max() - size.min() <= max(r.size for r in got)
+    # All three are balanced: a row more or less, and a thousandth of bytes and tokens where documents are many.
+    rows_of, words = np.zeros(16), np.zeros(16)
+    for r in got:
+        rows_of[r.shard] += 1
+        words[r.shard] += len(data[r.doc_id].decode().split())
+    if len(got) > 500:
+        assert np.ptp(rows_of) <= 2
+        assert np.ptp(size) < 0.001 * size.mean() and np.ptp(words) < 0.001 * words.mean()
     total = size.sum() / 16
     copies = Counter(data[r.doc_id] for r in got)
     assert all(len(s) == 1 for t, s in group.items() if copies[t] * (len(t) + 1) < total)
