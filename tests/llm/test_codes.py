@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from transhume.llm import codes
 from transhume.llm.queries import QUERIES
 
-SCHEMA = "vec_id long, embedding array<float>, label int, code string, row string"
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, `a.row` string"
 
 
 def expected(rows, parts=8, entries=16, rounds=6):
@@ -55,7 +55,7 @@ def test_codes_and_codebooks(spark, n, length):
     df = spark.createDataFrame([(i, v, 0, "", "") for i, v in rows], SCHEMA).repartition(3)
     coded, books = codes.compress(df)
     want, want_books = expected(rows)
-    assert coded.columns == ["vec_id", "embedding", "label", "row", "code", "error"]
+    assert coded.columns == ["vec_id", "embedding", "label", "a.row", "code", "error"]
     assert (books == want_books).all() and got_of(coded) == want
 
 

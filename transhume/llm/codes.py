@@ -187,7 +187,7 @@ def compress(
     slim = good.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     longest = slim.agg(F.max(F.size("vector")).alias("n")).first().n or 0
     width = -(-longest // parts)
-    row = F.struct(*[vectors[c].alias(c) for c in keep]).alias("row")
+    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in keep]).alias("row")
     blocks = dictionaries(good.select(row, F.col(vector_col).cast("array<double>").alias("vector")), parts * width, scale)
     first = [v + [0.0] * (parts * width - len(v)) for v in _first_vectors(slim, entries)]
     starts = np.floor(scale * np.array(first, float)).astype(np.int64).reshape(len(first), parts, width)
