@@ -149,3 +149,25 @@ def test_wide_keys_travel_as_digests(spark, shuffled_joins, name):
     plan = physical(QUERIES[name](spark, SF_DIR))
     moved = re.findall(r"(?:Exchange hashpartitioning|Sort \[|SortMergeJoin)[^\n]*", plan)
     assert moved and not any(re.search(r"\b(body|text)#", line) for line in moved)
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_orphans_are_not_shuffled(spark, shuffled_joins, monkeypatch, salted):
+    monkeypatch.setattr(lookup, "SIFT_FROM", 1)
+    deals = spark.range(0, 40_000, 1, 4).selectExpr(
+        "id AS deal_id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN CAST(id AS STRING) END AS trading_account"
+    )
+    accounts = spark.range(0, 5_000).selectExpr("CAST(id AS STRING) AS platform_login_id", "'u' || id AS uuid")
+    df = facts.export_deals(deals, accounts, id_keys=["deal_id"], spread_by=F.col("deal_id") if salted else None)
+    assert {(r.deal_id, r.platform_account_uuid) for r in df.collect()} == {(i, f"u{i}") for i in range(1, 5_000, 3)}
+    assert sum(_shuffle_records(df)) < 5_000 + 2 * 1_667
+
+
+def test_a_sieve_drops_no_row_with_a_match(spark):
+    keys = spark.range(3_000).select((F.col("id") * 7).alias("id"))
+    table = lookup.as_lookup_table(keys, "id", {"v": "id"}, text=True, unique=True)
+    rows = spark.range(21_000).select(F.when(F.col("id") < 20_900, F.col("id")).cast("string").alias("k"))
+    passed = {r.k for r in lookup.sifted(rows, table, F.col("k"), 1).collect()}
+    assert {str(7 * i) for i in range(2_986)} <= passed and len(passed) < 3_500 and None not in passed
+    assert lookup.sifted(rows, table, F.col("k"), 3_001).count() == 21_000
+    assert lookup.sifted(rows, table.limit(0), F.col("k"), 0).count() == 21_000

@@ -27,6 +27,12 @@ HOT_ROWS = 1_000_000
 # Frequent keys that are salted at most.
 MOST_HOT = 100_000
 
+# Keys of a lookup table from which on rows are sifted; Spark broadcasts a table of fewer by its default setting.
+SIFT_FROM = 200_000
+
+# Bits of a sieve at most: 8 MB, however large the lookup table is.
+SIEVE_BITS = 2**26
+
 
 def as_lookup_table(
     dim: DataFrame,
@@ -67,6 +73,7 @@ def lookup(
     salt_hot: Column | None = None,
     hot_rows: int = HOT_ROWS,
     hot_in: DataFrame | None = None,
+    sift: bool = False,
 ) -> DataFrame:
     """Bring values of a lookup table to every row; null where nothing matches.
 
@@ -75,7 +82,8 @@ def lookup(
     ``text`` compares both keys as text. ``inner`` drops rows without a match, and
     ``required`` also those whose named values are null. ``salt_hot`` names what to
     spread the rows of a key by that has more than ``hot_rows`` of them. They are counted in
-    ``hot_in``, a table with the key column that needs no earlier lookup, or else in ``df``.
+    ``hot_in``, a table with the key column that needs no earlier lookup, or else in ``df``. ``sift`` drops most rows
+    that ``inner`` will drop before they are shuffled, see ``sifted``; it is meant for tables that are stored.
     """
     table = as_lookup_table(dim, key, take, text, last_by, unique)
     for name in required:
@@ -83,6 +91,8 @@ def lookup(
     column = F.col(on) if isinstance(on, str) else on
     keyed = text_of(column) if text else column
     how = "inner" if inner else "left"
+    if sift and inner:
+        df = sifted(df, table, keyed)
     hot = hot_keys(hot_in, keyed, hot_rows, nulls=True) if salt_hot is not None and hot_in is not None else None
     replaced = [n for n in take if n in df.columns]
     if replaced:
@@ -101,6 +111,42 @@ def _join(
     return joined.drop(_KEY)
 
 
+def sifted(df: DataFrame, table: DataFrame, keyed: Column, at_least: int | None = None) -> DataFrame:
+    """Rows whose key may be in a lookup table, for an inner join that drops the few others.
+
+    Each key of the table sets two bits of a sieve, and rows stay whose key finds both of its bits set: none that has
+    a match goes. The sieve has 16 bits a key or more, ``SIEVE_BITS`` at most; beyond that more rows
+    pass in vain and the join is what it was. It is made in parallel and travels as a scalar subquery. The
+    table's keys are counted by a job of their own, and where there are fewer than ``at_least`` (``SIFT_FROM``) nothing is sifted.
+    """
+    n = table.count()
+    if n < max(SIFT_FROM if at_least is None else at_least, 1):
+        return df
+    bits = min(SIEVE_BITS, max(64, 1 << (16 * n - 1).bit_length()))
+
+    def marks(key: Column) -> list[Column]:
+        h = F.xxhash64(key)
+        return [m.bitwiseAND(F.lit(bits - 1)) for m in (h, F.shiftrightunsigned(h, 32))]
+
+    def word(mark: Column) -> Column:
+        return F.shiftright(mark, 6).cast("int")
+
+    def place(mark: Column) -> Column:
+        return mark.bitwiseAND(F.lit(63)).cast("int")
+
+    mark = F.col("mark")
+    found = table.select(F.explode(F.array(*marks(F.col(_KEY)))).alias("mark")).select(
+        word(mark).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), place(mark)).alias("set")
+    )
+    # Every word is there, so that its place in the array is its number.
+    empty = df.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("set"))
+    words = found.unionByName(empty).groupBy("word").agg(F.bit_or("set").alias("set"))
+    sieve = words.agg(F.array_sort(F.collect_list(F.struct("word", "set")))["set"]).scalar()
+    for m in marks(keyed):
+        df = df.filter(F.getbit(F.get(sieve, word(m)), place(m)) == 1)
+    return df.filter(keyed.isNotNull())
+
+
 def lookup_self(
     df: DataFrame,
     on: str,

@@ -207,6 +207,7 @@ def export_account_stats(
         required=list(taken),
         salt_hot=spread_by,
         hot_rows=hot_rows,
+        sift=True,
     )
     df = conform.with_constants(
         df,

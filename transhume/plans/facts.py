@@ -2,7 +2,7 @@
 
 Each is one scan, one lookup and a projection. The accounts table is the only other
 input: it is broadcast when its measured size allows, otherwise both sides are
-shuffled by login. ``spread_by`` then salts the logins that hold many rows. Row
+shuffled by login, the facts without most of those whose account is unknown. ``spread_by`` then salts the logins that hold many rows. Row
 keys are made after the lookup, so that none is computed for a row that goes.
 """
 
@@ -29,6 +29,7 @@ def with_account(
     with_user: bool = False,
     spread_by: Column | None = None,
     hot_rows: int = lookup.HOT_ROWS,
+    sift: bool = True,
 ) -> DataFrame:
     """Account uuid (and its user's) by login, compared as text."""
     taken = {"platform_account_uuid": "uuid"}
@@ -48,6 +49,7 @@ def with_account(
         required=["platform_account_uuid"],
         salt_hot=spread_by,
         hot_rows=hot_rows,
+        sift=sift,
     )
 
 
