@@ -171,3 +171,11 @@ def test_a_sieve_drops_no_row_with_a_match(spark):
     assert {str(7 * i) for i in range(2_986)} <= passed and len(passed) < 3_500 and None not in passed
     assert lookup.sifted(rows, table, F.col("k"), 3_001).count() == 21_000
     assert lookup.sifted(rows, table.limit(0), F.col("k"), 0).count() == 21_000
+
+
+@pytest.mark.parametrize("name", ["export_purchases", "export_platform_accounts"])
+def test_keys_of_purchases_are_made_after_the_lookups(spark, shuffled_joins, name):
+    plan = physical(QUERIES[name](spark, SF_DIR))
+    assert "concat_ws(|, purchases" in plan
+    moved = re.findall(r"Exchange hashpartitioning\((?:id|user_id)#.*?FileScan", plan, re.S)
+    assert moved and not any("concat_ws(|, purchases" in part for part in moved)

@@ -150,8 +150,10 @@ def export_platform_accounts(
     if purchase_keys is None:
         df = df.withColumn("purchase_uuid", nothing)
     else:
-        found = {"purchase_uuid": "uuid"}
-        df = lookup.lookup(df, purchase_keys, "purchase_id", "id", found, unique=True, **salting)
+        # The key is made after the lookup: as text that does not compress it is most of what would be shuffled.
+        df = lookup.lookup(df, purchase_keys, "purchase_id", "id", {"_purchase": "id"}, unique=True, **salting)
+        made = F.when(F.col("_purchase").isNotNull(), uuid_from("purchases", "_purchase"))
+        df = df.withColumn("purchase_uuid", made).drop("_purchase")
     df = conform.with_defaults(
         df,
         {

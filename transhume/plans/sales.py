@@ -73,14 +73,14 @@ def export_purchases(
     """
     salting = {"salt_hot": spread_by, "hot_rows": hot_rows, "hot_in": purchases}
     nothing = F.lit(None).cast("string")
-    df = conform.with_constants(purchases, {"uuid": uuid_from("purchases", "id")})
-    df = lookup.lookup(df, keys, "user_id", "id", {"user_uuid": "uuid"}, unique=True, **salting)
+    df = lookup.lookup(purchases, keys, "user_id", "id", {"user_uuid": "uuid"}, unique=True, **salting)
     if codes is None or exported_codes is None:
         df = df.withColumn("discount_uuid", nothing)
     else:
         df = lookup.lookup_two_hop(
             df, codes, exported_codes, "discount_id", "id", "code", "code", {"discount_uuid": "uuid"}, **salting
         )
+    df = conform.with_constants(df, {"uuid": uuid_from("purchases", "id")})
     df = conform.with_defaults(
         df,
         {
