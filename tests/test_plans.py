@@ -179,3 +179,25 @@ def test_keys_of_purchases_are_made_after_the_lookups(spark, shuffled_joins, nam
     assert "concat_ws(|, purchases" in plan
     moved = re.findall(r"Exchange hashpartitioning\((?:id|user_id)#.*?FileScan", plan, re.S)
     assert moved and not any("concat_ws(|, purchases" in part for part in moved)
+
+
+def test_a_slice_by_account_shuffles_a_row_per_login_and_task(spark, shuffled_joins):
+    deals = spark.range(0, 40_000, 1, 4).selectExpr(
+        "id AS deal_id", "CASE WHEN id % 3 > 0 THEN 'b' WHEN id > 39000 THEN 'a' WHEN id > 38000 THEN 'lost' END AS trading_account"
+    )
+    accounts = spark.createDataFrame([("b", "u2"), ("a", "u1"), ("idle", "u0")], "platform_login_id string, uuid string")
+    first = facts.first_account(deals, accounts)
+    logins = accounts.select(first.alias("uuid"))
+    assert {r.uuid for r in logins.collect()} == {"u1"}
+    df = facts.export_deals_of(deals, accounts, first, id_keys=["deal_id"])
+    assert {r.deal_id for r in df.collect()} == {i for i in range(39_001, 40_000) if i % 3 == 0}
+    plan = physical(df)
+    assert sum(_shuffle_records(df)) == 0 and "SortMergeJoin" not in plan.split("Subquery")[0]
+    whole = facts.export_deals(deals, accounts, id_keys=["deal_id"])
+    assert sorted(map(str, facts.slice_deals(whole, "u1").collect())) == sorted(map(str, df.collect()))
+
+
+def test_the_first_account_is_found_without_a_task_that_takes_a_hot_login_whole(spark, shuffled_joins):
+    plan = physical(QUERIES["export_slice_by_account"](spark, SF_DIR))
+    moved = [part for part in re.findall(r"Exchange hashpartitioning.*?FileScan[^\n]*", plan, re.S) if "lineitem" in part]
+    assert moved and all("HashAggregate(keys=[" in part for part in moved)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from transhume import rulebook
 from transhume.functions.keys import random_uuid, uuid_from
 from transhume.functions.parse import SECONDS_SHAPE, try_timestamp
+from transhume.functions.text import text_of
 from transhume.operators import conform, filters, lookup, rules
 from transhume.schemas import TARGETS
 
@@ -128,8 +129,9 @@ def _deals(
     hot_rows: int,
     columns: Sequence[str] | None,
     types: dict[str, str],
+    sift: bool = True,
 ) -> DataFrame:
-    df = with_account(deals, accounts, "trading_account", spread_by=spread_by, hot_rows=hot_rows)
+    df = with_account(deals, accounts, "trading_account", spread_by=spread_by, hot_rows=hot_rows, sift=sift)
     df = filters.not_null(df, "platform_account_uuid")
     df = conform.with_constants(df, {"id": _row_id("deals", id_keys)})
     return conform.select_available(conform.cast_columns(df, types), columns)
@@ -166,6 +168,29 @@ def export_recent_deals(
     return _deals(recent, accounts, id_keys, spread_by, hot_rows, columns, _DEAL_TYPES)
 
 
+def export_deals_of(
+    deals: DataFrame,
+    accounts: DataFrame,
+    account_uuid: str | Column,
+    id_keys: Sequence[str] | None = None,
+    columns: Sequence[str] | None = TARGETS["deals"],
+) -> DataFrame:
+    """Deals of one account. Its row is broadcast, so that no deal is shuffled, however many deals a login has."""
+    one = F.broadcast(filters.slice_by_key(accounts, "uuid", account_uuid))
+    types = {**_DEAL_TYPES, "deal_time": "timestamp_ntz"}
+    return _deals(deals, one, id_keys, None, lookup.HOT_ROWS, columns, types, sift=False)
+
+
+def first_account(deals: DataFrame, accounts: DataFrame) -> Column:
+    """The least uuid of the accounts with deals, as a scalar subquery.
+
+    Every login is one row a task before it is shuffled: rows of a frequent login alone compress to so little that
+    the run-time split of skewed partitions, which goes by stored bytes, leaves them in one task.
+    """
+    logins = deals.select(text_of(F.col("trading_account")).alias("login")).distinct()
+    return lookup.exists_in(accounts, logins, "platform_login_id", "login", text=True).agg(F.min("uuid")).scalar()
+
+
 def slice_deals(deals: DataFrame, account_uuid: str | Column) -> DataFrame:
     """Exported deals of one account."""
     return filters.slice_by_key(deals, "platform_account_uuid", account_uuid)

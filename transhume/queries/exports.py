@@ -375,9 +375,8 @@ WHERE e.uuid = (SELECT min(uuid) FROM in_deals JOIN exported ON trading_account
     )
 )
 def export_slice_by_account(spark, sf_dir):
-    deals = facts.export_deals(derived(spark, sf_dir, "deals"), _exported(spark, sf_dir), id_keys=DEAL_KEYS)
-    first = deals.agg(F.min("platform_account_uuid")).scalar()
-    return facts.slice_deals(deals, first)
+    deals, accounts = derived(spark, sf_dir, "deals"), _exported(spark, sf_dir)
+    return facts.export_deals_of(deals, accounts, facts.first_account(deals, accounts), id_keys=DEAL_KEYS)
 
 
 def _setting_sql(column: str) -> str:
